@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import chat, line_dedup, mixing
+from spillway.llm import chat, line_dedup, mixing, packing, quality
 from spillway.llm.common import table
+from spillway.llm.tokens import tokenizer_path
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    return judged.select("doc_id", *[F.col(f"q_{n}").alias(n) for n in names])
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,5 +80,5 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE
 FROM marked GROUP BY doc_id
 """
 
-QUERIES = {"op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op6_line_dedup": op6_line_dedup}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op6_line_dedup": op6_line_dedup}
 ORACLES = {"op4_mix_sources": OP4_SQL, "op6_line_dedup": OP6_SQL}
