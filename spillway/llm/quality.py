@@ -23,7 +23,7 @@ from spillway.llm.common import BLANKS, lower_ascii, materialize, only, words
 BUCKETS = 1 << 14
 MAX_TARGET = 20_000
 SMOOTHING = 1.0
-THRESHOLD = -0.35
+THRESHOLD = -0.25
 SYMBOLS = "#*$%&|<>"
 
 
