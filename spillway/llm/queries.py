@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import chat, huffman, line_dedup, mixing, packing, quality
+from spillway.llm import chat, huffman, line_dedup, mixing, near_dup, packing, quality
 from spillway.llm.common import table
 from spillway.llm.tokens import tokenizer_path
 
@@ -80,10 +80,14 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE
 FROM marked GROUP BY doc_id
 """
 
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = huffman.encode_corpus(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op6_line_dedup": op6_line_dedup, "op10_token_files": op10_token_files}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op10_token_files": op10_token_files}
 ORACLES = {"op4_mix_sources": OP4_SQL, "op6_line_dedup": OP6_SQL}
