@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,7 +184,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, broadcast_bytes: int = BROAD
                     mine = at == s
                     drop[mine] = arr.count(h1[mine], h2[mine]) >= min_docs
                 drop &= h1 != 0
-                yield _with_answers(batch, drop, pa.compute.list_value_length(batch.column("ld_h1")).to_numpy().astype(np.int64), names)
+                yield _with_answers(batch, drop, pc.list_value_length(batch.column("ld_h1")).to_numpy().astype(np.int64), names)
 
         return base.select("*", *hashes).mapInArrow(probe, out)
 

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,7 +116,7 @@ def _common(flat: np.ndarray, row: np.ndarray, m: int, wide: int = 4096) -> np.n
 def _table(t: pa.Table, values: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     lists = t[values].combine_chunks()
     lists = lists if isinstance(lists, pa.Array) else lists.chunk(0)
-    sizes = pa.compute.list_value_length(lists).to_numpy()
+    sizes = pc.list_value_length(lists).to_numpy()
     return t["x"].to_numpy(), t["block"].to_numpy(), sizes, lists.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
 
 
