@@ -67,8 +67,8 @@ def _at_exit() -> None:
 
 def words(text: Column) -> Column:
     """The words of a text, in order (null: none)."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), BLANKS, " " * len(BLANKS))
-    return F.filter(F.split(spaced, " ", -1), lambda w: w != "")
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+", -1))
 
 
 def n_words(text: Column) -> Column:

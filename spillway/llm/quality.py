@@ -27,12 +27,14 @@ THRESHOLD = -0.25
 SYMBOLS = "#*$%&|<>"
 
 
-def _grams(w: Column, buckets: int) -> Column:
-    """Buckets of all unigrams, and behind them of all bigrams."""
-    low = F.transform(w, lower_ascii)
-    one = F.transform(low, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
-    two = F.transform(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: (F.pmod(F.xxhash64(lower_ascii(x), lower_ascii(F.get(w, i + 1))), F.lit(buckets)) + buckets).cast("int"))
-    return F.concat(one, two)
+def _bigram(u: Column, x: Column, i: Column, buckets: int) -> Column:
+    return (F.pmod(F.xxhash64(x, F.get(u, i + 1)), F.lit(buckets)) + buckets).cast("int")
+
+
+def _grams(u: Column, buckets: int) -> Column:
+    """Buckets of all unigrams, and behind them of all bigrams, given the words' hashes."""
+    one = F.transform(u, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
+    return F.concat(one, F.transform(F.slice(u, 1, F.greatest(F.size(u) - 1, F.lit(0))), lambda x, i: _bigram(u, x, i, buckets)))
 
 
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_target: int = MAX_TARGET, smoothing: float = SMOOTHING) -> DataFrame:
@@ -42,8 +44,8 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_target:
     ids = trusted.select(F.col("doc_id").cast("long").alias("q_id")).filter("q_id IS NOT NULL").distinct()
     ids = ids.orderBy(F.xxhash64("q_id"), "q_id").limit(max_target).withColumn("q_target", F.lit(1))
     base = only(docs, "doc_id", "text")
-    flagged = base.join(F.broadcast(ids), base["doc_id"] == ids["q_id"], "left").select("q_target", words(F.col("text")).alias("w"))
-    counted = flagged.select("q_target", F.explode(_grams(F.col("w"), buckets)).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("q_target").alias("target"))
+    flagged = base.join(F.broadcast(ids), base["doc_id"] == ids["q_id"], "left").select("q_target", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("q_u"))
+    counted = flagged.select("q_target", F.explode(_grams(F.col("q_u"), buckets)).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("q_target").alias("target"))
     counts = materialize(counted, "quality-counts")
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
     every = docs.sparkSession.range(2 * buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
@@ -56,25 +58,26 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_target:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """docs with q_words (array) and the base statistics q_n_words, q_word_chars, q_n_symbols, q_n_dup_lines, q_n_repeat_words."""
+    """docs with q_u (the words' hashes) and the base statistics q_n_words, q_word_chars, q_n_symbols, q_n_dup_lines, q_n_repeat_words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    w, h, s, d = F.col("q_words"), F.col("q_h"), F.col("q_s"), F.col("q_d")
-    last = F.size(w) - 3
-    lines = F.filter(F.split(text, "\n", -1), lambda line: F.translate(line, BLANKS, "") != "")
+    w, u, h, s, d = F.col("q_words"), F.col("q_u"), F.col("q_h"), F.col("q_s"), F.col("q_d")
+    last = F.size(u) - 3
+    lines = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     cells, at = F.col("q_cells"), F.col("q_at")
-    first = docs.drop("q_words", "q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words", "q_h", "q_s", "q_d", "q_cells", "q_at", "q_lines")
+    first = docs.drop("q_words", "q_u", "q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words", "q_h", "q_s", "q_d", "q_cells", "q_at", "q_lines")
     return (
         first.withColumns({"q_words": words(F.col("text")), "q_lines": lines})
         .withColumns(
             {
                 "q_n_words": F.size(w).cast("long"),
-                "q_word_chars": F.char_length(F.translate(text, BLANKS, "")).cast("long"),
-                "q_n_symbols": (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long"),
+                "q_word_chars": F.char_length(F.array_join(w, "")).cast("long"),
+                "q_n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
                 "q_n_dup_lines": (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long"),
-                # A hash for each window of three words, by position.
-                "q_h": F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))).otherwise(F.array().cast("array<long>")),
+                "q_u": F.transform(w, lambda x: F.xxhash64(x)),
             }
         )
+        # A hash for each window of three words, by position.
+        .withColumn("q_h", F.transform(F.slice(u, 1, F.greatest(last + 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(u, i + 1), F.get(u, i + 2))))
         .withColumn("q_s", F.sort_array(h))
         # Columns that a lambda reads are named twice at least: Catalyst then computes them once a row instead of inlining them into the lambda.
         # The windows that occur twice or more, dealt to about as many cells as a cell has windows: a lookup reads one cell.
@@ -86,7 +89,7 @@ def measured(docs: DataFrame) -> DataFrame:
             "q_n_repeat_words",
             F.aggregate(at, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n")), lambda a: a["n"]),
         )
-        .drop("q_h", "q_s", "q_d", "q_cells", "q_at", "q_lines", "q_n_cells")
+        .drop("q_words", "q_h", "q_s", "q_d", "q_cells", "q_at", "q_lines", "q_n_cells")
     )
 
 
@@ -94,11 +97,17 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buc
     """docs with the base statistics, q_base_failed, q_score and q_kept."""
     weights = fit(docs, trusted, buckets, max_target, smoothing)
     model = weights.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "weight"))), lambda x: x["weight"]).alias("model")).scalar()
-    graded = measured(docs).withColumns({"q_grams": _grams(F.col("q_words"), buckets), "q_model": model})
-    score = F.when(F.size("q_grams") > 0, F.aggregate("q_grams", F.lit(0.0), lambda a, g: a + F.get("q_model", g)) / F.size("q_grams")).otherwise(F.lit(0.0))
+    graded = measured(docs).withColumn("q_model", model)
+    u, n = F.col("q_u"), F.size("q_u")
+    both = F.aggregate(
+        F.sequence(F.lit(0), n - 1),
+        F.lit(0.0),
+        lambda a, i: a + F.get("q_model", F.pmod(F.get(u, i), F.lit(buckets)).cast("int")) + F.coalesce(F.get("q_model", F.when(i < n - 1, _bigram(u, F.get(u, i), i, buckets))), F.lit(0.0)),
+    )
+    score = F.when(n > 0, both / (2 * n - 1)).otherwise(F.lit(0.0))
     return (
         graded.withColumn("q_score", score)
         .withColumn("q_base_failed", (F.col("q_n_words") < 50) | (100 * F.col("q_n_repeat_words") > 50 * F.col("q_n_words")))
         .withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_score") >= threshold))
-        .drop("q_words", "q_grams", "q_model")
+        .drop("q_u", "q_model")
     )
