@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import chat, huffman, line_dedup, mixing, near_dup, packing, quality
+from spillway.llm import chat, huffman, line_dedup, mixing, near_dup, packing, quality, toxicity
 from spillway.llm.common import table
 from spillway.llm.tokens import tokenizer_path
 
@@ -84,10 +84,17 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training = toxicity.training_rows(table(spark, sf_dir, "labels")).select("doc_id", "toxic")
+    scored = toxicity.score(table(spark, sf_dir, "documents"), training)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"), "evidence")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = huffman.encode_corpus(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op10_token_files": op10_token_files}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op8_toxicity": op8_toxicity, "op10_token_files": op10_token_files}
 ORACLES = {"op4_mix_sources": OP4_SQL, "op6_line_dedup": OP6_SQL}
