@@ -11,8 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 # Letters, numbers and white space among the plain characters, which are ASCII text and Latin-1 and Latin Extended A and B signs. Their classes and normal forms are the same in every Unicode version.
 _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t\n\r \xa0"
@@ -24,7 +24,7 @@ _BYTE_PLAIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}
 _WORD_PLAIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
 #: Pieces kept per process at most.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,7 +60,7 @@ class PieceEncoder:
         return None, False
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -69,18 +69,17 @@ class PieceEncoder:
             return self.whole(text)
         pieces = self.cut(text.lower() if self.lower else text)
         cache = self.cache
-        try:
-            return b"".join([cache[p] for p in pieces])
-        except KeyError:
-            new = [p for p in dict.fromkeys(pieces) if p not in cache]
+        if new := set(pieces).difference(cache):
             if len(cache) + len(new) > self.most:
                 cache.clear()
-                new = list(dict.fromkeys(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                cache[p] = np.array(e.ids, "<u4").tobytes()
-            return b"".join([cache[p] for p in pieces])
+                new = set(pieces)
+            new = list(new)
+            cache.update(zip(new, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)], strict=True))
+        return b"".join(map(cache.__getitem__, pieces))
 
 
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("token ids are kept as the machine's unsigned 32-bit integers, which must be little-endian")
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 _encoders: dict[str, PieceEncoder] = {}
 
