@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import chat, huffman, line_dedup, mixing, near_dup, packing, quality, toxicity
+from spillway.llm import ann, chat, huffman, line_dedup, mixing, near_dup, packing, quality, toxicity
 from spillway.llm.common import table
 from spillway.llm.tokens import tokenizer_path
 
@@ -64,6 +64,17 @@ FROM rated
 """
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+OP5_BRUTE_SQL = """
+SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score
+FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0
+QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, v.vec_id) <= 20
+"""
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", F.col("ld_lines").alias("n_lines"), F.col("ld_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -96,5 +107,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op8_toxicity": op8_toxicity, "op10_token_files": op10_token_files}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op5_nearest_vectors": op5_nearest_vectors, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op8_toxicity": op8_toxicity, "op10_token_files": op10_token_files}
 ORACLES = {"op4_mix_sources": OP4_SQL, "op6_line_dedup": OP6_SQL}
