@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import ann, chat, huffman, line_dedup, mixing, near_dup, packing, quality, toxicity
+from spillway.llm import ann, chat, huffman, licences, line_dedup, mixing, near_dup, packing, quality, toxicity
 from spillway.llm.common import table
 from spillway.llm.tokens import tokenizer_path
 
@@ -102,10 +102,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"), "evidence")
 
 
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that begin with a notice lie at source/lang/doc_id and speak for that directory; others at source/lang/hundreds/doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    voice = F.coalesce(F.substring_index(F.col("text"), "\n", 1).rlike("(?i)licen[cs]e"), F.lit(False))
+    top = [F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))]
+    own = F.col("doc_id").cast("string")
+    path = F.when(voice, F.concat_ws("/", *top, own)).otherwise(F.concat_ws("/", *top, F.floor(F.col("doc_id") / 100).cast("string"), own))
+    found = licences.scan(docs.select("text", voice.alias("voice"), F.when(F.col("doc_id").isNotNull(), path).alias("path")), is_licence=F.col("voice"))
+    return found.select(F.element_at(F.split("path", "/", -1), -1).cast("long").alias("doc_id"), "path", "licence", "score", "origin", "origin_path")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = huffman.encode_corpus(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op5_nearest_vectors": op5_nearest_vectors, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op8_toxicity": op8_toxicity, "op10_token_files": op10_token_files}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op5_nearest_vectors": op5_nearest_vectors, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op8_toxicity": op8_toxicity, "op9_licence_scan": op9_licence_scan, "op10_token_files": op10_token_files}
 ORACLES = {"op4_mix_sources": OP4_SQL, "op6_line_dedup": OP6_SQL}
