@@ -15,6 +15,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _written: dict[str, SparkSession] = {}
+_kept: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,29 +33,40 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder's path in the shared folder, removed by release() or when the program ends."""
+    """A new folder's path in the shared folder, removed by release(), release_scratch() or when the program ends."""
     path = f"{shared_dir(spark)}/spillway-{os.getpid()}-{uuid.uuid4().hex[:12]}-{name}"
     _written[path] = spark
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes df as a table in the shared folder and reads it back. A lost executor costs only its own running tasks."""
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Cuts lineage: writes df as a table in the shared folder and reads it back. A lost executor costs only its own running tasks.
+
+    keep: release_scratch() leaves it."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if keep:
+        _kept.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Deletes every scratch table written so far; DataFrames that still read them must not be used afterwards."""
+def release_scratch() -> None:
+    """Deletes the scratch tables written so far, but for those to keep. DataFrames that still read them must not be used afterwards."""
     for path, spark in list(_written.items()):
-        try:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # noqa: BLE001  the session may be gone
-            if spark.sparkContext._jsc is not None:
-                raise
-        _written.pop(path, None)
+        if path not in _kept:
+            _delete(path, spark)
+
+
+def release() -> None:
+    """Deletes every scratch table written so far."""
+    _kept.clear()
+    release_scratch()
+
+
+def _delete(path: str, spark: SparkSession) -> None:
+    _written.pop(path, None)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 @atexit.register

@@ -216,3 +216,11 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, broadcast_bytes: int = BROAD
             yield _with_answers(batch, drop, counts, names)
 
     return keyed.join(drops, "ld_row", "left").drop("ld_row").mapInArrow(rebuild, out)
+
+
+def rewritten(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """docs without frequent lines, in docs' own columns; n_chars, where it is a column, counts the new text."""
+    cut = drop_lines(docs, min_docs)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("ld_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
