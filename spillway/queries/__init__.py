@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spillway.queries import functions
+from spillway.queries import functions, relational
 from spillway.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "functions"]
+__all__ = ["ORACLES", "QUERIES", "functions", "relational"]
