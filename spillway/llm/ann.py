@@ -6,8 +6,8 @@ inner product with their centre, and leaves are taken as they come out. How many
 for a bounded set of queries the true neighbours are found by brute force over all vectors, and the visits widen
 until the calibration queries' recall reaches the target. A query also goes on until its leaves hold enough candidates.
 
-Leaves are cut into blocks of vectors, so a leaf that holds a third of all rows is many tasks. The first leaf gives a
-query its bound, and from the others only vectors that reach it come back. Scores are inner products in double
+Leaves are cut into blocks of vectors, so a leaf that holds a third of all rows is many tasks. Leaves are read in
+growing rounds; a query's k-th best so far is its bound, and only vectors that reach it come back. Scores are inner products in double
 precision of the original vectors, summed in one fixed order, so equal vectors tie exactly.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite numbers take no
@@ -201,11 +201,20 @@ def search(vectors: DataFrame, is_query, k: int = 20, target: float = TARGET, ma
 
         return stored.cogroup(asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).groupBy("leaf", "block")).applyInArrow(run, _FOUND)
 
-    first = materialize(_top(look(routed.select(F.get("path", F.lit(0)).alias("leaf"), "query_id", "q", F.lit(float("-inf")).alias("least"))), k), "ann-first")
-    bounds = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("low"))
-    more = routed.join(bounds, "query_id", "left").select(F.explode(F.slice("path", 2, F.greatest(F.size("path") - 1, F.lit(0)))).alias("leaf"), "query_id", "q", F.coalesce("low", F.lit(float("-inf"))).alias("least"))
-    both = first.select("query_id", "vec_id", "score").unionByName(look(more))
-    return _top(both, k).select("query_id", "rank", "vec_id", "score")
+    # Leaves are read in rounds of 1, 2, 4, ...; each round's k-th best is the next one's bound, so about k vectors a query come back from every round.
+    longest = routed.agg(F.max(F.size("path"))).first()[0] or 0
+    found, start, width = None, 0, 1
+    while start < longest:
+        asked = routed.withColumn("least", F.lit(float("-inf")))
+        if found is not None:
+            bounds = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("low"))
+            asked = routed.join(bounds, "query_id", "left").withColumn("least", F.coalesce("low", F.lit(float("-inf"))))
+        some = look(asked.select(F.explode(F.slice("path", start + 1, width)).alias("leaf"), "query_id", "q", "least"))
+        found = materialize(_top(some if found is None else found.select("query_id", "vec_id", "score").unionByName(some), k), "ann-found")
+        start, width = start + width, width * 2
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def _calibrate(indexed: DataFrame, is_query, tree: Tree, held: np.ndarray, k: int, target: float) -> int:
