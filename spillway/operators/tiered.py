@@ -209,7 +209,9 @@ class TieredStore:
                 if p.name not in df.columns:
                     df = df.withColumn(p.name, p.expr(F.col(p.column)))
             path = f"{self.store.path}/{name}/{node}"
-            df.write.partitionBy(*[p.name for p in self.store.plan]).parquet(path)
+            # Rows of a partition come together first, so that it is not many small files; AQE cuts partitions that are large.
+            names = [p.name for p in self.store.plan]
+            df.hint("rebalance", *names).write.partitionBy(*names).parquet(path)
             made.files[node] = fs.list_files(self.spark, path, ".parquet")
             order = [f for f in df.schema.fields if f.name not in {p.name for p in self.store.plan}] + [df.schema[p.name] for p in self.store.plan]
             made.schemas[node] = T.StructType(order).jsonValue()
@@ -280,7 +282,7 @@ class TieredStore:
         ts = F.col(self.store.lifecycle)
         root = tables[self.store.root.name]
         inside = ts.isNotNull() & (ts < F.lit(cutoff)) & (F.lit(True) if low is None else ts >= F.lit(low))
-        out = {self.store.root.name: root.filter(inside)}
+        out = {self.store.root.name: root.filter(inside).withColumns({p.name: p.expr(F.col(p.column)) for p in self.store.plan if p.name not in root.columns})}
         need = list(dict.fromkeys([self.store.lifecycle, *[p.column for p in self.store.plan]]))
         for n in self.store.children:
             led = self.with_root(n, tables, need)
@@ -428,8 +430,8 @@ class TieredStore:
         return self._publish(self._write(full, now), now.version)
 
     def compact(self) -> Control:
-        """The same rows, one file per partition."""
-        return self._rewrite(lambda n, rows, roots: rows.repartition(*[p.name for p in self.store.plan]))
+        """The same rows in as few files as their sizes ask for."""
+        return self._rewrite(lambda n, rows, roots: rows)
 
     def contract(self) -> dict:
         """Whether the active generation has this store's partition layout."""

@@ -207,10 +207,10 @@ def json_owned(t):
 
 
 # -- structs and row values --------------------------------------------------------------------------------------------
-@query("SELECT c_custkey, c_name AS name, n_name AS nation, length(n_name) > 6 AS long_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name <> 'CHINA'")
+@query("SELECT c_custkey, c_name AS name, n_name AS nation, length(n_name) > 8 AS long_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name <> 'NATION_3'")
 def struct_fields(t):
     nested = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.struct("c_name", F.struct(F.col("n_name").alias("name")).alias("home")).alias("who"))
-    return nested.filter("who.home.name <> 'CHINA'").select("c_custkey", F.col("who.c_name").alias("name"), F.col("who.home.name").alias("nation"), (F.length("who.home.name") > 6).alias("long_name"))
+    return nested.filter("who.home.name <> 'NATION_3'").select("c_custkey", F.col("who.c_name").alias("name"), F.col("who.home.name").alias("nation"), (F.length("who.home.name") > 8).alias("long_name"))
 
 
 _ROW = {"lt": "<", "le": "<=", "gt": ">", "ge": ">="}

@@ -53,10 +53,10 @@ def raw_sql_composed(t):
     return dynamic.raw_sql(t.spark, "SELECT * FROM {nation} WHERE n_nationkey < :top", {"top": 20}, nation=t.nation).groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT n_name, n_regionkey + 1 AS next FROM nation WHERE n_name LIKE 'A%'")
+@query("SELECT n_name, n_regionkey + 1 AS next FROM nation WHERE n_name LIKE 'NATION_1%'")
 def dynamic_sql(t):
     t.nation.createOrReplaceTempView("spillway_dynamic")
-    return dynamic.query(t.spark, "SELECT n_name, n_regionkey + 1 AS next FROM spillway_dynamic WHERE n_name LIKE :p", {"p": "A%"}).frame()
+    return dynamic.query(t.spark, "SELECT n_name, n_regionkey + 1 AS next FROM spillway_dynamic WHERE n_name LIKE :p", {"p": "NATION_1%"}).frame()
 
 
 # -- projections and filters -------------------------------------------------------------------------------------------
@@ -97,9 +97,9 @@ def exists_subquery(t):
     return O.semi(t.customer, t.orders.filter("o_totalprice > 150000"), c("c_custkey") == c("o_custkey")).select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
 def not_exists_subquery(t):
-    return O.anti(t.customer, t.orders, c("c_custkey") == c("o_custkey")).select("c_custkey")
+    return O.anti(t.customer, t.orders.filter("o_totalprice > 300000"), c("c_custkey") == c("o_custkey")).select("c_custkey")
 
 
 select("case_when", "orders", "o_orderkey", {"r": (lambda: F.when(c("o_totalprice") > 200000, "high").when(c("o_totalprice") > 50000, "middle").otherwise("low"), "CASE WHEN o_totalprice > 200000 THEN 'high' WHEN o_totalprice > 50000 THEN 'middle' ELSE 'low' END")})
@@ -371,16 +371,16 @@ def win_raw_sql(t):
 _NK = "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END"
 
 
-@query(f"SELECT o_orderkey, p FROM (SELECT o_orderkey, {_NK} AS p FROM orders) ORDER BY p ASC NULLS LAST, o_orderkey DESC LIMIT 2000")
+@query(f"SELECT o_orderkey, p FROM (SELECT o_orderkey, {_NK} AS p FROM orders) ORDER BY p ASC NULLS LAST, o_orderkey DESC")
 def order_by(t):
     keyed = t.orders.select("o_orderkey", F.when(c("o_orderkey") % 5 != 0, c("o_orderpriority")).alias("p"))
-    return O.page(keyed, ["p", "-o_orderkey"], take=2000)
+    return O.order_by(keyed, "p", "-o_orderkey")
 
 
-@query(f"SELECT o_orderkey, p FROM (SELECT o_orderkey, {_NK} AS p FROM orders) ORDER BY p ASC NULLS FIRST, o_orderkey LIMIT 100")
+@query(f"SELECT o_orderkey, p FROM (SELECT o_orderkey, {_NK} AS p FROM orders) ORDER BY p ASC NULLS FIRST, o_orderkey")
 def order_by_nulls_first(t):
     keyed = t.orders.select("o_orderkey", F.when(c("o_orderkey") % 5 != 0, c("o_orderpriority")).alias("p"))
-    return O.order_by(keyed, "p", "o_orderkey", nulls_first=True).limit(100)
+    return O.order_by(keyed, "p", "o_orderkey", nulls_first=True)
 
 
 @query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 25")
