@@ -32,9 +32,20 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
-def select(name: str, table: str, key: str, exprs: dict[str, tuple[Column, str]], where: str | None = None) -> None:
+def select(name: str, table: str, key: str, exprs: dict[str, tuple[Callable[[], Column], str]], where: str | None = None) -> None:
     """Registers a projection: per output column, the expression and its SQL; key is carried along."""
-    QUERIES[name] = lambda spark, folder: (
-        (lambda df: (df.filter(where) if where else df).select(key, *[c().alias(n) for n, (c, _) in exprs.items()]))(getattr(Tables(spark, folder), table))
-    )
-    ORACLES[name] = f"SELECT {key}, {', '.join(f'{s} AS {n}' for n, (_, s) in exprs.items())} FROM {table}" + (f" WHERE {where}" if where else "")
+    made = {n: _no_negative_zero(c, s) for n, (c, s) in exprs.items()}
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        df = getattr(Tables(spark, folder), table)
+        return (df.filter(where) if where else df).select(key, *[c().alias(n) for n, (c, _) in made.items()])
+
+    QUERIES[name] = run
+    ORACLES[name] = f"SELECT {key}, {', '.join(f'{s} AS {n}' for n, (_, s) in made.items())} FROM {table}" + (f" WHERE {where}" if where else "")
+
+
+def _no_negative_zero(column: Callable[[], Column], sql: str) -> tuple[Callable[[], Column], str]:
+    """Rounding a small negative number gives -0.0 in one engine and 0.0 in the other; adding zero makes both 0.0."""
+    if sql.startswith(("round(", "trunc(", "ceil(", "floor(")):
+        return lambda: column() + 0.0, f"({sql}) + 0.0"
+    return column, sql
