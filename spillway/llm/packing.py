@@ -29,8 +29,8 @@ CAPACITY = 2048
 CELLS = 64
 
 
-def _exact(avail: np.ndarray, capacity: int) -> Iterator[tuple[tuple[int, ...], int]]:
-    """Consumes avail (counts by length) with combinations that fill a sequence exactly."""
+def _exact(avail: np.ndarray, capacity: int, depth: int = 3) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Consumes avail (counts by length) with combinations that fill a sequence exactly: beside a length, up to depth others."""
     pairs = np.zeros(0, bool)
 
     def times(combo: tuple[int, ...]) -> int:
@@ -38,11 +38,15 @@ def _exact(avail: np.ndarray, capacity: int) -> Iterator[tuple[tuple[int, ...],
 
     def completions(length: int, gap: int) -> Iterator[tuple[int, ...]]:
         nonlocal pairs
-        if avail[gap]:
+        if depth >= 1 and avail[gap]:
             yield (gap,)
+        if depth < 2:
+            return
         a = np.arange(1, gap // 2 + 1)
         for x in a[(avail[a] > 0) & (avail[gap - a] > 0)][::-1]:
             yield (gap - int(x), int(x))
+        if depth < 3:
+            return
         here = (avail > 0).astype(np.float64)
         pairs = np.rint(np.fft.irfft(np.fft.rfft(here, 4 * capacity) ** 2, 4 * capacity))[: capacity + 1] > 0  # which sums two lengths can make
         a = np.arange(1, gap - 1)
@@ -99,9 +103,15 @@ def _best_fit(avail: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of one sequence, number of such sequences) so that the counts by length are used up."""
-    avail = counts.astype(np.int64).copy()
-    return [*_exact(avail, capacity), *_best_fit(avail, capacity)]
+    """(lengths of one sequence, number of such sequences) so that the counts by length are used up.
+
+    On few documents, exact combinations of several pieces can use up the small ones that best-fit needs, so shallower
+    index depths are tried on the same histogram too; the fewest sequences win, the deepest of equals."""
+    found = []
+    for depth in (3, 2, 1, 0):
+        avail = counts.astype(np.int64).copy()
+        found.append([*_exact(avail, capacity, depth), *_best_fit(avail, capacity)])
+    return min(found, key=lambda runs: sum(m for _, m in runs))
 
 
 class Places:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spillway.llm.common import BLANKS, lower_ascii, materialize, only, words
+from spillway.llm.common import BLANKS, materialize, only, words
 
 #: Rows of the model per n-gram length; trusted documents taken at most; additive smoothing; least score that is kept.
 BUCKETS = 1 << 14
