@@ -24,7 +24,7 @@ _BYTE_PLAIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}
 _WORD_PLAIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
 #: Pieces kept per process at most.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 800_000
 
 
 def tokenizer_path(name: str) -> str:
