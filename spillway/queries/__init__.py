@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spillway.queries import functions, lifecycle, relational
+from spillway.queries import functions, lifecycle, relational, spatial
 from spillway.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "functions", "lifecycle", "relational"]
+__all__ = ["ORACLES", "QUERIES", "functions", "lifecycle", "relational", "spatial"]
