@@ -68,13 +68,6 @@ def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-OP5_BRUTE_SQL = """
-SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score
-FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0
-QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, v.vec_id) <= 20
-"""
-
-
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", F.col("ld_lines").alias("n_lines"), F.col("ld_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
