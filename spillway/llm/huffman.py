@@ -35,6 +35,8 @@ from spillway.llm.tokens import encoder
 
 MAX_BITS = 18
 BLOCK = 4096
+#: Pieces that a worker keeps at most: about 200 MB.
+CACHE_PIECES = 1_000_000
 #: Documents' ids per file, about.
 FILE_IDS = 6_000_000
 _HEAD, _HEAD_BYTES = "<8sqqqqq", 48
@@ -132,7 +134,7 @@ def id_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, CACHE_PIECES)
         wide = "<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for b in batches:
             ids = [np.frombuffer(enc.encode(t or "") + end, "<u4") for t in b.column("text").to_pylist()]

@@ -84,8 +84,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 _encoders: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> PieceEncoder:
     """The process's encoder for a tokenizer file; Python workers are reused and keep it."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = PieceEncoder(path, cache_pieces)
     return _encoders[path]
