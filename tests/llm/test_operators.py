@@ -307,6 +307,27 @@ def test_toxicity_held_out(spark, docs, empty):
     assert toxicity.score(empty, training).count() == 0
 
 
+def toxic_corpus():
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(300):
+        w = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('lmnr')}{rng.choice('aeiou')}" for _ in range(40)]
+        if i % 6 == 0:
+            w[:3] = ["nasty", "vile", "foul"]
+        rows.append((i, " ".join(w), "en", "s", 0))
+        labels.append((i, int(i % 6 == 0)))
+    return rows, labels
+
+
+def test_toxicity_finds_neighbours_without_telling_terms(spark):
+    rows, labels = toxic_corpus()
+    # Words of the examples, none of them telling: the nearest examples are found all the same, and an unknown text has none.
+    rows += [(1000, rows[1][1], "en", "s", 0), (1001, "zzz", "en", "s", 0)]
+    out = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert all(len(out[i].evidence) == toxicity.NEIGHBOURS for i in [*range(300), 1000]) and out[1001].evidence == []
+    assert out[1000].evidence[0] == 1 and out[1000].score < 0.7
+
+
 def test_licences_inherit_from_the_nearest_directory(spark):
     mit, apache = licences.TEMPLATES["MIT"], licences.TEMPLATES["Apache-2.0"]
     rows = [("a/LICENSE", f"x\n{mit}"), ("a/b/LICENSE.txt", apache), ("a/b/c/f.py", "code"), ("a/g.py", "code\n" * 50), ("h.py", None), ("a/b/own.py", f"# {mit}"), (None, apache), ("a/g.py", "more"), ("ab/k.py", "")]
