@@ -328,6 +328,26 @@ def test_toxicity_finds_neighbours_without_telling_terms(spark):
     assert out[1000].evidence[0] == 1 and out[1000].score < 0.7
 
 
+def test_toxicity_cosine_is_that_of_whole_texts(spark):
+    rows, labels = toxic_corpus()
+    words = ["".join(p) for p in zip("abcdefghij" * 20, "klmnopqrst" * 20, ("xyz" * 67)[:200], sorted("uvwxabcdef" * 20))]
+    rows += [(2000, " ".join(["nasty", *words]), "en", "s", 0), (2001, " ".join(words[:50]), "en", "s", 0)]
+    model = toxicity.fit(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    df = collections.Counter(t for r in rows for t in set(r[1].split()))
+    counts = collections.Counter(rows[-2][1].split())
+    square, nasty = 0.0, 0.0
+    for t, n in counts.items():
+        x = (1 + math.log(n)) * (math.log((1 + len(rows)) / (1 + df[t])) + 1)
+        if t in model.number:
+            nasty = x * model.term_weight[model.number[t]] / (math.log((1 + len(rows)) / (1 + df[t])) + 1)
+            square += nasty**2
+        else:
+            square += (toxicity.LEAST_WEIGHT * x) ** 2
+    got = model.vector(counts)
+    assert list(got) == [model.number["nasty"]] and got[model.number["nasty"]] == pytest.approx(nasty / math.sqrt(square), rel=1e-6)
+    assert got[model.number["nasty"]] < 0.8
+
+
 def test_licences_inherit_from_the_nearest_directory(spark):
     mit, apache = licences.TEMPLATES["MIT"], licences.TEMPLATES["Apache-2.0"]
     rows = [("a/LICENSE", f"x\n{mit}"), ("a/b/LICENSE.txt", apache), ("a/b/c/f.py", "code"), ("a/g.py", "code\n" * 50), ("h.py", None), ("a/b/own.py", f"# {mit}"), (None, apache), ("a/g.py", "more"), ("ab/k.py", "")]
