@@ -1,7 +1,8 @@
 r"""MinHash near-dedup with bottom-k sketches.
 
 A document's set holds the hashes of its distinct shingles of five lower-cased words. One hash function orders
-shingles; the k smallest values are the sketch. Documents with equal sets are one node, so copies never meet in pairs.
+shingles; the k smallest values are the sketch. Documents with equal sets are one node, so copies never meet in pairs;
+a node is named by the first half of the set's 128-bit fingerprint, whatever the ids of its rows.
 
 1. Inverted lists of retained values: a pair of similarity 0.75 or more shares at least `least` values of its sketches
    (half of k; for sets that lie in the sketch whole, three quarters of the set, which is exact). So it also meets in
@@ -20,7 +21,8 @@ steeply above. Links are exact: they are confirmed on full sets (of 63-bit hashe
 
 Defined cases: a null or blank text has an empty set and links with nothing; under five words, the whole sequence is
 the one shingle; rows that repeat a doc_id get the component of their own text; a row without doc_id takes part but
-never names a component of documents that have one; an empty table gives an empty result.
+never names a component of documents that have one (a component without any has a null name); kept are the rows of the
+component's smallest doc_id, of several texts under it those of one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,23 +66,27 @@ def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
     return np.unique((x ^ (x >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
 
 
+def _name(s: np.ndarray) -> int:
+    """A set's node."""
+    from xxhash import xxh3_128_digest
+
+    return int.from_bytes(xxh3_128_digest(s.tobytes())[:8], "little", signed=True)
+
+
 def signatures(docs: DataFrame, k: int = K) -> DataFrame:
-    """(doc_id, n, f1, f2, sketch): set size, a 128-bit fingerprint of the set, the k smallest values."""
+    """(doc_id, n, x, sketch): set size, the set's node, the k smallest values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
         for b in batches:
-            n, prints, sketches = [], [], []
+            n, names, sketches = [], [], []
             for text in b.column("text").to_pylist():
                 s = shingles(text)
                 n.append(len(s))
-                prints.append(np.frombuffer(xxh3_128_digest(s.tobytes()), np.int64))
+                names.append(_name(s))
                 sketches.append(s[:k])
-            both = np.array(prints, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "n", "f1", "f2", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "n", "x", "sketch"])
 
-    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sketch array<long>")
+    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n long, x long, sketch array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -88,9 +94,10 @@ def _sets(docs: DataFrame) -> DataFrame:
         for b in batches:
             # Rows of one batch may hold long texts; sets leave a few at a time.
             for part in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
-                yield pa.RecordBatch.from_arrays([part.column("x"), pa.array([shingles(t) for t in part.column("text").to_pylist()], pa.list_(pa.int64()))], names=["x", "values"])
+                sets = [shingles(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([_name(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["x", "values"])
 
-    return docs.mapInArrow(run, "x long, values array<long>")
+    return docs.select("text").mapInArrow(run, "x long, values array<long>")
 
 
 def _common(flat: np.ndarray, row: np.ndarray, m: int, wide: int = 4096) -> np.ndarray:
@@ -178,8 +185,10 @@ def _dealt(members: DataFrame) -> DataFrame:
     )
 
 
-def links(docs: DataFrame, sketches: DataFrame, k: int = K) -> DataFrame:
-    """Verified links (a, b) between nodes: enough of them to connect what is connected. sketches: (x, n, sketch), a row per node."""
+def links(docs: DataFrame, sketches: DataFrame, firsts: DataFrame, k: int = K) -> DataFrame:
+    """Verified links (a, b) between nodes: enough of them to connect what is connected.
+
+    sketches: (x, n, sketch), firsts: (x, first), the smallest doc_id of the node's rows; a row per node."""
     entries = sketches.select("x", "n", F.explode("sketch").alias("v"))
     often = entries.groupBy("v").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
     known = entries.join(often, "v")
@@ -194,9 +203,12 @@ def links(docs: DataFrame, sketches: DataFrame, k: int = K) -> DataFrame:
     first = _dealt(members).join(sketches.select("x", "sketch"), "x").select("hub", "i", "j", "x", "block", "n", "sketch")
     likely = first.groupBy("hub", "i", "j").applyInArrow(lambda t: _likely(t, k), "hub long, x long, n long").distinct()
     likely = materialize(likely, "dup-likely")
-    ids = likely.select("x").distinct()
-    texts = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("x"), "text").filter("x IS NOT NULL")
-    full = _sets(texts.join(ids, "x", "left_semi"))
+    ids = materialize(likely.select("x").distinct().join(firsts, "x"), "dup-ids")
+    texts = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("first"), "text")
+    # Other texts under these ids come along; the join on nodes below leaves them out.
+    full = _sets(texts.filter("first IS NOT NULL").join(ids.select("first").distinct(), "first", "left_semi"))
+    unnamed = _sets(texts.filter("first IS NULL")).join(ids.filter("first IS NULL").select("x"), "x", "left_semi").dropDuplicates(["x"])
+    full = full.union(unnamed)
     second = _dealt(likely).join(full, "x").select("hub", "i", "j", "x", "block", "values")
     return second.groupBy("hub", "i", "j").applyInArrow(_links, "a long, b long")
 
@@ -229,19 +241,26 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("x"), F.col("b").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row per row of docs."""
+def _told(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n, x, component_id, kept), a row per row of docs."""
     base = only(docs, "doc_id", "text")
     sigs = materialize(signatures(base, k), "dup-signatures")
-    prints = sigs.filter("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("x"))
-    reps = materialize(prints, "dup-nodes")
+    firsts = materialize(sigs.filter("n > 0").groupBy("x").agg(F.min("doc_id").alias("first")), "dup-nodes")
     # A node's sketch is any of its rows' (they are equal).
-    nodes = sigs.filter("n > 0").join(reps.filter("x IS NOT NULL"), ["f1", "f2"]).filter("doc_id = x").select("x", "n", "sketch").dropDuplicates(["x", "n"])
-    found = components(links(base, materialize(nodes, "dup-sketches"), k))
-    named = reps.join(found, "x", "left").select("f1", "f2", F.coalesce("component", "x").alias("component"))
-    own = sigs.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    nodes = sigs.filter("n > 0").select("x", "n", "sketch").dropDuplicates(["x"])
+    found = components(links(base, materialize(nodes, "dup-sketches"), firsts, k))
+    named = firsts.join(found, "x", "left").select("x", "first", F.coalesce("component", "x").alias("component"))
+    tops = named.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "x")).alias("top"))
+    named = named.join(tops, "component").select("x", F.col("top.first").alias("top_id"), F.col("top.x").alias("top_x"))
+    own = sigs.select("doc_id", "n", "x").join(named, "x", "left")
+    component = F.when(F.col("n") > 0, F.col("top_id")).otherwise(F.col("doc_id"))
+    kept = (F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("x") == F.col("top_x")))
+    return own.select("doc_id", "n", "x", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), a row per row of docs."""
+    return _told(docs, k).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
 def dedup(docs: DataFrame, k: int = K) -> DataFrame:

@@ -273,6 +273,15 @@ def test_near_duplicates_against_brute_force(spark, docs, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_link_texts_not_ids(spark):
+    text = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
+    a, b, c, d, e = (text(w) for w in "abcde")
+    rows = [(None, a), (None, a + " x"), (None, b), (None, b), (None, ""), (None, None), (1, c), (1, d), (2, c + " x"), (3, d + " x"), (4, e), (5, e + " x"), (5, text("f")), (6, text("g")), (6, text("g") + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    told = near_dup.near_duplicates(docs).collect()
+    assert len(told) == len(rows) and {r.component_id for r in told if r.doc_id in (2, 3)} == {1} and [r.component_id for r in told if r.doc_id is None] == [None] * 6
+
+
 def test_block_max_search_is_exact():
     rng = random.Random(4)
     vectors = [{t: rng.random() for t in rng.sample(range(40), rng.randint(0, 6))} for _ in range(700)]
