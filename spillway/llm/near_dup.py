@@ -34,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from spillway.llm.common import materialize, only
 
@@ -264,6 +265,23 @@ def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def dedup(docs: DataFrame, k: int = K) -> DataFrame:
-    """docs with one document of each component left: the row of its smallest doc_id."""
-    kept = near_duplicates(docs, k).filter("kept").select(F.col("doc_id").alias("nd_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["nd_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """docs with one row of each component left: of its smallest doc_id. Blank texts link with nothing, so all of them stay.
+
+    Ids of one row name it; rows whose doc_id is null or repeated are told apart by their texts' nodes."""
+    told = materialize(_told(docs, k), "dup-told")
+    kept = told.filter("kept").select(F.col("doc_id").alias("nd_id"), F.col("x").alias("nd_x"), F.col("n").alias("nd_n"))
+    repeated = materialize(told.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("nd_id")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("nd_id"), "dup-repeated")
+    plain = docs.join(kept.join(repeated, "nd_id", "left_anti"), docs["doc_id"] == kept["nd_id"], "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = [_name(shingles(t)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(x, pa.int64())], names=[*b.schema.names, "nd_own"])
+
+    vague = docs.filter(docs["doc_id"].isNull()).union(docs.join(repeated, docs["doc_id"] == repeated["nd_id"], "left_semi"))
+    vague = vague.mapInArrow(run, StructType([*docs.schema.fields, StructField("nd_own", LongType())]))
+    stay = kept.dropDuplicates(["nd_id", "nd_x"])
+    vague = vague.join(stay, vague["doc_id"].eqNullSafe(stay["nd_id"]) & (vague["nd_own"] == stay["nd_x"]))
+    names = [F.col(f"`{n}`") for n in docs.columns]
+    one = vague.filter("nd_n > 0").dropDuplicates(["doc_id", "nd_own"]).select(*names)
+    return plain.union(one).union(vague.filter("nd_n = 0").select(*names))

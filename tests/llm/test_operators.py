@@ -273,6 +273,21 @@ def test_near_duplicates_against_brute_force(spark, docs, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_tells_rows_without_an_id_of_their_own_apart(spark):
+    text = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
+    a, b, c, d, e = (text(w) for w in "abcde")
+    rows = [(None, a), (None, a + " x"), (None, b), (None, b), (None, ""), (None, None), (1, c), (1, d), (2, c + " x"), (3, d + " x"), (4, e), (5, e + " x"), (5, text("f")), (6, text("g")), (6, text("g") + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = collections.defaultdict(set)
+    for r in near_dup.dedup(docs).collect():
+        assert (r.doc_id, r.text) not in out[r.doc_id] or not r.text
+        out[r.doc_id].add((r.doc_id, r.text))
+    one_a = {t for _, t in out[None]} & {a, a + " x"}
+    assert len(one_a) == 1 and {t for _, t in out[None]} - one_a == {b, "", None}
+    assert {t for _, t in out[1]} == {c, d} and not out[2] and not out[3]
+    assert {t for _, t in out[4]} == {e} and {t for _, t in out[5]} == {text("f")} and len(out[6]) == 1
+
+
 def test_near_duplicates_link_texts_not_ids(spark):
     text = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
     a, b, c, d, e = (text(w) for w in "abcde")
