@@ -389,6 +389,25 @@ def test_licences_inherit_from_the_nearest_directory(spark):
     assert licences.scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_licences_over_several_lines(spark):
+    import textwrap
+
+    wrap = lambda t, mark="": "\n".join(mark + x for x in textwrap.wrap(t, 70))
+    texts = dict(licences.BODIES)
+    gpl = next(t for n, t in licences.NOTICES if n == "GPL-3.0" and "program" in t)
+    rows = [
+        ("a/LICENSE", "Copyright (c) 2020 Some One\n\n" + wrap(texts["MIT"])),
+        ("a/x.py", "code"),
+        ("b/y.c", "/* y.c\n" + wrap(texts["BSD-3-Clause"], " * ") + "\n */\n" + "int f(void) { return 1; }\n" * 300),
+        ("c/z.py", "# z, a tool\n#\n" + wrap(gpl, "# ") + "\n" + "x = 1\n" * 50),
+        ("d/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\nEveryone is permitted to copy"),
+        ("e/LICENSE", wrap(texts["BSD-2-Clause"])),
+        ("f/plain.py", "this software is a copy of nothing\n" * 5),
+    ]
+    out = {r.path: (r.licence, r.origin) for r in licences.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert out == {"a/LICENSE": ("MIT", "own"), "a/x.py": ("MIT", "inherited"), "b/y.c": ("BSD-3-Clause", "own"), "c/z.py": ("GPL-3.0", "own"), "d/COPYING": ("GPL-2.0", "own"), "e/LICENSE": ("BSD-2-Clause", "own"), "f/plain.py": (None, None)}
+
+
 @pytest.mark.parametrize("file_ids", [2_000, 10**9])
 def test_token_files_round_trip(spark, docs, empty, file_ids):
     path = tokenizer_path("byte_bpe_50k.json")
