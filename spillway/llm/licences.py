@@ -86,6 +86,7 @@ BODIES = [
 ]
 WINDOWS, LONG_WINDOWS = (2, 3, 4, 5, 6), (8, 12, 16, 24, 32, 48)
 
+_NO_PATH = "\0"
 _APART = r"[^\p{L}\p{N}]+"
 
 
@@ -112,7 +113,10 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None, threshold: f
     vocabulary = sorted({t for c in counted.values() for t in c})
     named = F.coalesce(F.element_at(F.split("path", "/", -1), -1).rlike(LICENCE_NAME), F.lit(False))
     speaks = F.coalesce(is_licence, F.lit(False)) | named if is_licence is not None else named
-    given = files.select("path", "text", speaks.alias("speaks"))
+    # A file without a path goes by its text, on which alone its licence depends; such rows are never grouped.
+    by_text = F.concat(F.lit(_NO_PATH), F.sha2(F.coalesce("text", F.lit("")), 256))
+    given = files.select(F.coalesce("path", by_text).alias("path"), "text", (speaks & F.col("path").isNotNull()).alias("speaks"))
+    placed = ~F.col("path").startswith(_NO_PATH)
 
     # One row per word of the templates, whatever the corpus.
     held = F.array_intersect(_terms(F.coalesce("text", F.lit(""))), F.array(*[F.lit(t) for t in vocabulary]))
@@ -175,21 +179,22 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None, threshold: f
     best = near.filter(F.col("score") >= threshold).groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("worse"), "licence")).alias("b"))
     own = materialize(best.select(F.col("path").alias("own_path"), F.col("b.licence").alias("own"), (-F.col("b.worse")).alias("own_score")), "licence-own")
 
-    every = materialize(given.groupBy("path").agg(F.max("speaks").alias("speaks")), "licence-files")
-    marked = every.join(own, every["path"].eqNullSafe(own["own_path"]), "left").withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
-    voices = marked.filter("speaks AND own IS NOT NULL AND path IS NOT NULL").groupBy("dir").agg(F.min(F.struct((-F.col("own_score")).alias("worse"), "own", "path")).alias("v"))
+    every = given.filter(placed).groupBy("path").agg(F.max("speaks").alias("speaks"))
+    every = materialize(every.union(given.filter(~placed).select("path", "speaks")), "licence-files")
+    marked = every.join(own, every["path"].eqNullSafe(own["own_path"]), "left").withColumn("dir", F.when(placed, F.regexp_replace("path", "/?[^/]*$", "")))
+    voices = marked.filter("speaks AND own IS NOT NULL").groupBy("dir").agg(F.min(F.struct((-F.col("own_score")).alias("worse"), "own", "path")).alias("v"))
     voices = voices.select(F.col("dir").alias("at"), F.col("v.own").alias("dir_licence"), (-F.col("v.worse")).alias("dir_score"), F.col("v.path").alias("dir_path"))
     parts = F.split("dir", "/", -1)
     up = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    dirs = marked.filter("path IS NOT NULL").select("dir").distinct().select("dir", F.explode(F.array_distinct(up)).alias("at"))
+    dirs = marked.filter("dir IS NOT NULL").select("dir").distinct().select("dir", F.explode(F.array_distinct(up)).alias("at"))
     nearest = dirs.join(voices, "at").groupBy("dir").agg(F.max(F.struct(F.length("at").alias("depth"), "dir_licence", "dir_score", "dir_path")).alias("v"))
     nearest = nearest.select(F.col("dir").alias("in_dir"), "v.dir_licence", "v.dir_score", "v.dir_path")
     told = marked.join(nearest, marked["dir"] == nearest["in_dir"], "left")
     origin = F.when(F.col("own").isNotNull(), "own").when(F.col("dir_licence").isNotNull(), "inherited")
     return told.select(
-        "path",
+        F.when(placed, F.col("path")).alias("path"),
         F.coalesce("own", "dir_licence").alias("licence"),
         F.coalesce("own_score", "dir_score").alias("score"),
         origin.alias("origin"),
-        F.when(origin == "own", F.col("path")).when(origin == "inherited", F.col("dir_path")).alias("origin_path"),
+        F.when((origin == "own") & placed, F.col("path")).when(origin == "inherited", F.col("dir_path")).alias("origin_path"),
     )

@@ -389,6 +389,12 @@ def test_licences_inherit_from_the_nearest_directory(spark):
     assert licences.scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_licences_of_files_without_a_path_stay_apart(spark):
+    mit, apache = licences.TEMPLATES["MIT"], licences.TEMPLATES["Apache-2.0"]
+    out = licences.scan(spark.createDataFrame([(None, mit), (None, apache), (None, apache), (None, "code"), (None, None), ("a.py", "x")], "path string, text string")).collect()
+    assert collections.Counter((r.path, r.licence, r.origin, r.origin_path) for r in out) == {(None, "MIT", "own", None): 1, (None, "Apache-2.0", "own", None): 2, (None, None, None, None): 2, ("a.py", None, None, None): 1}
+
+
 def test_licences_over_several_lines(spark):
     import textwrap
 
