@@ -3,7 +3,8 @@
 A byte-pair tokenizer encodes each piece of its pre-tokenizer by itself. PieceEncoder cuts a text into the same pieces
 with the tokenizer's own pattern, asks the library once for each new piece and reuses its answer. Texts that hold
 anything beyond a plain character range, in which pattern and normalisation are certain to agree, or a special token's
-string, are given to the library whole, so the ids are those of encode(text, add_special_tokens=False) in every case.
+string, as they are or lower-cased where the tokenizer does that, are given to the library whole, so the ids are those
+of encode(text, add_special_tokens=False) in every case.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9
 _BEYOND = re.compile("[^\t\n\r\x20-\x7e\xa0-\u024f]").search
 
 # A pre-tokenizer's pattern as its tokenizer file states it, and the forms of the two known patterns over plain characters.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _BYTE_PLAIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 _WORD_PLAIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
@@ -53,7 +55,7 @@ class PieceEncoder:
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
             return _BYTE_PLAIN.findall, False
-        if pre.get("type") == "Sequence" and norm and norm["type"] == "Sequence" and [n["type"] for n in norm["normalizers"]] == ["NFC", "Replace", "Lowercase"]:
+        if pre.get("type") == "Sequence" and norm and norm["type"] == "Sequence" and norm["normalizers"] == NORMALIZERS:
             split, *more = pre["pretokenizers"]
             if split["type"] == "Split" and split["behavior"] == "Removed" and split["invert"] and split["pattern"].get("Regex") == WORD_PATTERN and [(m["type"], m["use_regex"]) for m in more] == [("ByteLevel", False)]:
                 return _WORD_PLAIN.findall, True
@@ -65,9 +67,13 @@ class PieceEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.cut is None or _BEYOND(text) or any(s in text for s in self.special):
+        if self.cut is None or _BEYOND(text):
             return self.whole(text)
-        pieces = self.cut(text.lower() if self.lower else text)
+        # Lower case may lead out of the plain range, and into a special token's string.
+        plain = text.lower() if self.lower else text
+        if (self.lower and _BEYOND(plain)) or any(s in text or s in plain for s in self.special):
+            return self.whole(text)
+        pieces = self.cut(plain)
         cache = self.cache
         if new := set(pieces).difference(cache):
             if len(cache) + len(new) > self.most:
