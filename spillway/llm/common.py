@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_written: dict[str, SparkSession] = {}
-_kept: set[str] = set()
+#: Scratch tables by path, with their session and their owner; who owns those written now.
+_written: dict[str, tuple[SparkSession, str | None]] = {}
+_owner: list[str | None] = [None]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,44 +26,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset and all tasks run in this machine's one process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         own = spark.sparkContext.getCheckpointDir()
+        if not own and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = own or "file://" + tempfile.mkdtemp(prefix="spillway-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder's path in the shared folder, removed by release(), release_scratch() or when the program ends."""
+    """A new folder's path in the shared folder, removed by release(), by its owner's release_scratch(), or when the program ends."""
     path = f"{shared_dir(spark)}/spillway-{os.getpid()}-{uuid.uuid4().hex[:12]}-{name}"
-    _written[path] = spark
+    _written[path] = (spark, _owner[-1])
     return path
 
 
-def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Cuts lineage: writes df as a table in the shared folder and reads it back. A lost executor costs only its own running tasks.
-
-    keep: release_scratch() leaves it."""
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cuts lineage: writes df as a table in the shared folder and reads it back. A lost executor costs only its own running tasks."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    if keep:
-        _kept.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_scratch() -> None:
-    """Deletes the scratch tables written so far, but for those to keep. DataFrames that still read them must not be used afterwards."""
-    for path, spark in list(_written.items()):
-        if path not in _kept:
+@contextmanager
+def owning(owner: str) -> Iterator[None]:
+    """Scratch tables that are written within belong to the owner, who can delete them without touching anyone else's."""
+    _owner.append(owner)
+    try:
+        yield
+    finally:
+        _owner.pop()
+
+
+def release_scratch(owner: str) -> None:
+    """Deletes the owner's scratch tables. DataFrames that still read them must not be used afterwards."""
+    for path, (spark, whose) in list(_written.items()):
+        if whose == owner:
             _delete(path, spark)
 
 
 def release() -> None:
     """Deletes every scratch table written so far."""
-    _kept.clear()
-    release_scratch()
+    for path, (spark, _) in list(_written.items()):
+        _delete(path, spark)
 
 
 def _delete(path: str, spark: SparkSession) -> None:
@@ -94,3 +105,16 @@ def lower_ascii(text: Column) -> Column:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Just these columns, so that extra columns of any name cannot clash with the operator's own."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def set_aside(df: DataFrame, *prefixes: str) -> DataFrame:
+    """df with its columns that begin like an operator's own renamed, in place; toDF(*df.columns) puts the names back."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for i, c in enumerate(df.columns):
+        if c.lower().startswith(prefixes):
+            c = f"aside{i}"
+            while c in taken:
+                c += "_"
+        names.append(c)
+    return df.toDF(*names)

@@ -7,11 +7,14 @@ indexes two compact arrays, a fingerprint (the second hash) and a count. Documen
 never joined. Keys outside the index land on some slot too and are told apart by the 64-bit fingerprint, which is
 independent of the slot.
 
-Up to BROADCAST_BYTES the arrays are sent to the executors whole. A larger index stays in the shared folder: hashes
-are dealt to their shard and each is answered there, which gives the same verdicts.
+Up to BROADCAST_BYTES the arrays are sent to the executors whole, as files of the index that every worker opens once.
+A larger index stays in its shards: lines' hashes (never lines) go to their shard and are answered by the same arrays,
+with the same verdicts. Sending a larger index to every task would cost tasks times index size, which grows with the
+square of the corpus; dealing hashes costs a fixed share of it.
 
 Defined cases: a null text counts as one empty line and stays null; empty keys are never dropped; every row is a
-document of its own, also when it repeats a doc_id; an empty table gives an empty result.
+document of its own, also when it repeats a doc_id; an empty table gives an empty result; extra columns are carried
+along, by rewritten() whatever their names, by drop_lines() but for columns named ld_*, which are its own.
 """
 
 from __future__ import annotations
@@ -25,14 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spillway.llm.common import BLANKS, lower_ascii, materialize, only
+from spillway.llm.common import BLANKS, lower_ascii, materialize, only, set_aside
 
 #: Arrays up to this size are broadcast; beyond it they are probed shard by shard.
 BROADCAST_BYTES = 64 << 20
 SHARD_KEYS = 1 << 19
 LEVELS = 24
 
-_SHARD = "shard int, n long, sizes array<long>, bits array<binary>, rest binary, prints binary, counts binary"
+#: Hashes that a task answers for one shard, about, where the index stays in its shards.
+CUT_LINES = 1 << 20
+
+_SHARD = "shard int, n long, seed int, sizes array<long>, bits array<binary>, rest binary, prints binary, counts binary"
 
 
 def _mixed(keys: np.ndarray, level: int) -> np.ndarray:
@@ -89,34 +95,38 @@ class PerfectHash:
         return out
 
 
+def _folded(h1: np.ndarray, h2: np.ndarray, seed: int) -> np.ndarray:
+    """Both hashes in one uint64; keys that the first hash does not tell apart differ under one seed or another."""
+    return h1.view(np.uint64) ^ (h2.view(np.uint64) * np.uint64(2 * seed + 1))
+
+
 class Shard:
     """A perfect hash with the fingerprints and counts that it indexes."""
 
     def __init__(self, row):
+        self.seed = row["seed"]
         self.hash = PerfectHash(list(row["sizes"]), [np.frombuffer(b, np.uint64) for b in row["bits"]], np.frombuffer(row["rest"], np.uint64))
         self.prints, self.counts = np.frombuffer(row["prints"], np.int64), np.frombuffer(row["counts"], np.uint32)
 
     def count(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """In how many documents the keys occur; 0 for those outside the index."""
-        slots = self.hash.slots(h1.view(np.uint64))
-        known = (slots >= 0) & (self.prints[slots] == h2) if len(self.prints) else np.zeros(len(h1), bool)
-        return np.where(known, self.counts[slots] if len(self.counts) else 0, 0)
+        if not len(self.prints):
+            return np.zeros(len(h1), np.uint32)
+        slots = self.hash.slots(_folded(h1, h2, self.seed))
+        return np.where((slots >= 0) & (self.prints[slots] == h2), self.counts[slots], 0)
 
 
 def _build(pdf: pa.Table) -> pa.Table:
-    h1, h2 = pdf["h1"].to_numpy(), pdf["h2"].to_numpy()
-    # Keys with equal h1 (one pair in 2^64) cannot share a slot: only the first is indexed by h1, the rest by h2 in their place.
-    order = np.lexsort((h2, h1))
-    h1, h2, counts = h1[order], h2[order], pdf["n"].to_numpy()[order]
-    twin = np.r_[False, h1[1:] == h1[:-1]] if len(h1) else np.zeros(0, bool)
-    if twin.any():
-        raise ValueError("two frequent lines share a 64-bit hash; choose another hash seed")
-    made = PerfectHash.build(h1.view(np.uint64))
-    at = made.slots(h1.view(np.uint64))
+    h1, h2, counts = (pdf[c].to_numpy() for c in ("h1", "h2", "n"))
+    seed = 0
+    while len(np.unique(keys := _folded(h1, h2, seed))) < len(keys):
+        seed += 1
+    made = PerfectHash.build(keys)
+    at = made.slots(keys)
     prints, seen = np.zeros(len(h1), np.int64), np.zeros(len(h1), np.uint32)
     prints[at], seen[at] = h2, np.minimum(counts, 2**32 - 1)
-    row = {"shard": int(pdf["shard"][0].as_py()), "n": len(h1), "sizes": made.sizes, "bits": [b.tobytes() for b in made.bits], "rest": made.rest.tobytes(), "prints": prints.tobytes(), "counts": seen.tobytes()}
-    return pa.Table.from_pylist([row], schema=pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("sizes", pa.list_(pa.int64())), ("bits", pa.list_(pa.binary())), ("rest", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary())]))
+    row = {"shard": int(pdf["shard"][0].as_py()), "n": len(h1), "seed": seed, "sizes": made.sizes, "bits": [b.tobytes() for b in made.bits], "rest": made.rest.tobytes(), "prints": prints.tobytes(), "counts": seen.tobytes()}
+    return pa.Table.from_pylist([row], schema=pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("seed", pa.int32()), ("sizes", pa.list_(pa.int64())), ("bits", pa.list_(pa.binary())), ("rest", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary())]))
 
 
 def line_keys(text: Column) -> Column:
@@ -155,52 +165,50 @@ def _with_answers(batch: pa.RecordBatch, drop: np.ndarray, n_lines: np.ndarray,
     return pa.RecordBatch.from_arrays([own.get(n, batch.column(n) if n in batch.schema.names else None) for n in names], names=names)
 
 
-def _values(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False)
-
-
 def drop_lines(docs: DataFrame, min_docs: int = 10, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """docs with frequent lines taken out of text, and the long columns ld_lines (lines before) and ld_dropped."""
     spark = docs.sparkSession
     index, shards, n = build_index(docs, min_docs, shard_keys)
-    base = docs.drop("ld_lines", "ld_dropped", "ld_h1", "ld_h2", "ld_drop")
+    base = docs.drop("ld_lines", "ld_dropped", "ld_hashes", "ld_row", "ld_drop")
     out = T.StructType([*base.schema.fields, T.StructField("ld_lines", T.LongType()), T.StructField("ld_dropped", T.LongType())])
     names = out.names
-    hashes = [
-        F.transform(line_keys(F.col("text")), lambda k: F.when(k != "", F.xxhash64(k)).otherwise(F.lit(0).cast("long"))).alias("ld_h1"),
-        F.transform(line_keys(F.col("text")), lambda k: F.when(k != "", F.xxhash64(F.lit("print"), k)).otherwise(F.lit(0).cast("long"))).alias("ld_h2"),
-    ]
+
+    def pair(k: Column) -> Column:
+        one, two = F.when(k != "", F.xxhash64(k)).otherwise(F.lit(0)), F.when(k != "", F.xxhash64(F.lit("print"), k)).otherwise(F.lit(0))
+        return F.struct(one.cast("long").alias("h1"), two.cast("long").alias("h2"))
+
+    hashed = base.withColumn("ld_hashes", F.transform(line_keys(F.col("text")), pair))
     # One line costs 8 bytes of fingerprint, 4 of count and under 1 of hash.
     if n * 13 <= broadcast_bytes:
-        rows = {r["shard"]: r.asDict() for r in index.collect()}
-        sent = spark.sparkContext.broadcast(rows)
+        sent = spark.sparkContext.broadcast({r["shard"]: r.asDict() for r in index.collect()})
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            arrays = {s: Shard(r) for s, r in sent.value.items()}
+            arrays = _opened(sent)
             for batch in batches:
-                h1, h2 = _values(batch.column("ld_h1")), _values(batch.column("ld_h2"))
+                lists = batch.column("ld_hashes")
+                h1, h2 = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
                 drop, at = np.zeros(len(h1), bool), (h1.view(np.uint64) >> np.uint64(40)) % np.uint64(shards)
                 for s, arr in arrays.items():
-                    mine = at == s
+                    mine = np.flatnonzero(at == s)
                     drop[mine] = arr.count(h1[mine], h2[mine]) >= min_docs
                 drop &= h1 != 0
-                yield _with_answers(batch, drop, pc.list_value_length(batch.column("ld_h1")).to_numpy().astype(np.int64), names)
+                yield _with_answers(batch, drop, pc.list_value_length(lists).to_numpy().astype(np.int64), names)
 
-        return base.select("*", *hashes).mapInArrow(probe, out)
+        return hashed.mapInArrow(probe, out)
 
     # The larger index: each line's hashes go to their shard once, as 24 bytes, and the numbers of dropped lines come back.
     keyed = materialize(base.withColumn("ld_row", F.expr("uuid()")), "line-docs")
-    lines = keyed.select("ld_row", F.posexplode(F.arrays_zip(*hashes)).alias("pos", "h")).select("ld_row", "pos", "h.ld_h1", "h.ld_h2").filter("ld_h1 != 0")
-    dealt = lines.withColumn("shard", _shard_of(F.col("ld_h1"), shards))
+    lines = keyed.select("ld_row", F.posexplode(F.transform(line_keys(F.col("text")), pair)).alias("pos", "h")).select("ld_row", "pos", "h.h1", "h.h2").filter("h1 != 0")
+    dealt = materialize(lines.withColumn("shard", _shard_of(F.col("h1"), shards)), "line-hashes")
     # Shards are cut once more by row so that a line found everywhere does not meet in one task; the arrays are copied to each cut.
-    cuts = 16
-    dealt = dealt.withColumn("cut", F.pmod(F.xxhash64("ld_row"), F.lit(cuts)).cast("int"))
+    cuts = max(16, -(-dealt.count() // (shards * CUT_LINES)))
+    dealt = dealt.withColumn("cut", F.pmod(F.xxhash64("ld_row", "pos"), F.lit(cuts)).cast("int"))
     copied = index.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(cuts - 1))))
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         hit = np.zeros(left.num_rows, bool)
         for row in right.to_pylist():
-            hit |= Shard(row).count(left["ld_h1"].to_numpy(), left["ld_h2"].to_numpy()) >= min_docs
+            hit |= Shard(row).count(left["h1"].to_numpy(), left["h2"].to_numpy()) >= min_docs
         return left.select(["ld_row", "pos"]).filter(pa.array(hit))
 
     found = dealt.groupBy("shard", "cut").cogroup(copied.groupBy("shard", "cut")).applyInArrow(answer, "ld_row string, pos int")
@@ -218,9 +226,21 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, broadcast_bytes: int = BROAD
     return keyed.join(drops, "ld_row", "left").drop("ld_row").mapInArrow(rebuild, out)
 
 
+_open: dict[int, dict[int, Shard]] = {}
+
+
+def _opened(sent) -> dict[int, Shard]:
+    """A broadcast index, opened once per worker process; only the latest is kept."""
+    if id(sent.value) not in _open:
+        _open.clear()
+        _open[id(sent.value)] = {s: Shard(r) for s, r in sent.value.items()}
+    return _open[id(sent.value)]
+
+
 def rewritten(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """docs without frequent lines, in docs' own columns; n_chars, where it is a column, counts the new text."""
-    cut = drop_lines(docs, min_docs)
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("ld_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = set_aside(docs, "ld_")
+    cut = drop_lines(own, min_docs)
+    if "n_chars" in own.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("ld_dropped") > 0, F.char_length("text").cast(own.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return only(cut, *own.columns).toDF(*docs.columns)
