@@ -4,8 +4,13 @@ Tokens are aggregated per source, a source's repetition rate is its target over
 emitted floor(rate) times plus one hash-seeded Bernoulli copy whose probability is the fraction.
 
 Defined cases: a null text has size 0; null sources form one source that sorts last; an empty table gives an empty
-result; a source without any word has target 0 and gives no copies; rows that repeat a doc_id (or lack one) draw the
-same hash and so the same number of copies; extra columns are carried along.
+result; a source without any word has target 0 and gives no copies; rows that repeat a doc_id draw the same hash and so
+the same number of copies; rows without a doc_id draw by their text; extra columns are carried along, by mix() whatever
+their names.
+
+Copies are drawn one by one, so a source's taken words spread around its target: with fraction p of a copy and sizes s
+the standard deviation is sqrt(p (1 - p) sum s^2), which is small beside the target unless few documents hold most of
+the source.
 """
 
 from __future__ import annotations
@@ -15,15 +20,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spillway.llm.common import materialize, n_words, only
+from spillway.llm.common import materialize, n_words, only, set_aside
 
 #: Up to so many sources the table of targets is broadcast (under 40 MB); more are joined by a shuffle, with AQE's skew handling.
 BROADCAST_SOURCES = 200_000
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) that depends on the document's id and the seed alone."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("|" + seed)))
+def draw(doc_id: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) that depends on the document's id (where that is null, its text) and the seed alone."""
+    named = F.coalesce(doc_id.cast("string"), F.concat(F.lit("null|"), F.md5(F.coalesce(text, F.lit("")))))
+    digest = F.md5(F.concat(named, F.lit("|" + seed)))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(2**48))
 
 
@@ -68,11 +74,13 @@ def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed
     sized = docs.drop("mx_source", "mx_source_size", "mx_target", "mx_copies").withColumn("mx_size", n_words(F.col("text")))
     joined = sized.join(F.broadcast(renamed) if few else renamed, sized["source"].eqNullSafe(renamed["mx_source"]), "inner").drop("mx_source")
     rate = F.when(F.col("mx_source_size") > 0, F.col("mx_target") / F.col("mx_source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(draw(F.col("doc_id"), seed) < rate - F.floor(rate), 1).otherwise(0)
+    copies = F.floor(rate) + F.when(draw(F.col("doc_id"), F.col("text"), seed) < rate - F.floor(rate), 1).otherwise(0)
     return joined.withColumn("mx_copies", copies.cast("long"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: str = "mix-1") -> DataFrame:
     """The mixed corpus: each document's row as often as the mix takes it, with the columns of docs."""
-    planned = plan(docs, weights, cap, seed).filter(F.col("mx_copies") > 0)
-    return planned.withColumn("mx_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mx_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = set_aside(docs, "mx_")
+    planned = plan(own, weights, cap, seed).filter(F.col("mx_copies") > 0)
+    copied = planned.withColumn("mx_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mx_copies"))))
+    return only(copied, *own.columns).toDF(*docs.columns)

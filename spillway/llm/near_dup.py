@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from spillway.llm.common import materialize, only
+from spillway.llm.common import materialize, only, set_aside
 
 K = 64
 SHINGLE = 5
@@ -268,6 +268,7 @@ def dedup(docs: DataFrame, k: int = K) -> DataFrame:
     """docs with one row of each component left: of its smallest doc_id. Blank texts link with nothing, so all of them stay.
 
     Ids of one row name it; rows whose doc_id is null or repeated are told apart by their texts' nodes."""
+    names, docs = docs.columns, set_aside(docs, "nd_")
     told = materialize(_told(docs, k), "dup-told")
     kept = told.filter("kept").select(F.col("doc_id").alias("nd_id"), F.col("x").alias("nd_x"), F.col("n").alias("nd_n"))
     repeated = materialize(told.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("nd_id")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("nd_id"), "dup-repeated")
@@ -282,6 +283,5 @@ def dedup(docs: DataFrame, k: int = K) -> DataFrame:
     vague = vague.mapInArrow(run, StructType([*docs.schema.fields, StructField("nd_own", LongType())]))
     stay = kept.dropDuplicates(["nd_id", "nd_x"])
     vague = vague.join(stay, vague["doc_id"].eqNullSafe(stay["nd_id"]) & (vague["nd_own"] == stay["nd_x"]))
-    names = [F.col(f"`{n}`") for n in docs.columns]
-    one = vague.filter("nd_n > 0").dropDuplicates(["doc_id", "nd_own"]).select(*names)
-    return plain.union(one).union(vague.filter("nd_n = 0").select(*names))
+    one = only(vague.filter("nd_n > 0").dropDuplicates(["doc_id", "nd_own"]), *docs.columns)
+    return plain.union(one).union(only(vague.filter("nd_n = 0"), *docs.columns)).toDF(*names)

@@ -41,7 +41,7 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rn FROM per),
 weighed AS (SELECT *, CASE (rn - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM ranked),
@@ -56,7 +56,7 @@ targets AS (
   FROM filled, first_fit),
 rated AS (
   SELECT s.doc_id, s.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-    CAST(('0x' || substr(md5(coalesce(CAST(s.doc_id AS VARCHAR), 'null') || '|mix-1'), 1, 12)) AS BIGINT) / 281474976710656.0 AS u
+    CAST(('0x' || substr(md5(coalesce(CAST(s.doc_id AS VARCHAR), 'null|' || md5(coalesce(s.text, ''))) || '|mix-1'), 1, 12)) AS BIGINT) / 281474976710656.0 AS u
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
   CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
