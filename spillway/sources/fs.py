@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -34,14 +36,52 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a new file beside the old one, then takes its place."""
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Makes a whole file or none; FileExistsError if it is there already, which is how two writers of one version are told apart."""
+    system, p = _at(spark, path)
+    if system.exists(p):
+        raise FileExistsError(path)
+    scheme = system.getUri().getScheme()
+    if scheme not in ("file", "hdfs", "viewfs"):  # object stores show a file once it is closed
+        try:
+            return write_text(spark, path, text)
+        except Exception as e:
+            if system.exists(p):
+                raise FileExistsError(path) from e
+            raise
+    temp = f"{path}.{uuid.uuid4().hex}.tmp"
+    write_text(spark, temp, text)
+    t = spark._jvm.org.apache.hadoop.fs.Path(temp)
+    try:
+        if scheme == "file":  # a rename would replace the other writer's file, a link does not
+            local = lambda x: spark._jvm.java.io.File(x.toUri().getPath()).toPath()
+            spark._jvm.java.nio.file.Files.createLink(local(p), local(t))
+        elif not system.rename(t, p):
+            raise FileExistsError(path)
+    except FileExistsError:
+        raise
+    except Exception as e:
+        if system.exists(p):
+            raise FileExistsError(path) from e
+        raise
+    finally:
+        if system.exists(t):
+            system.delete(t, False)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
     system, p = _at(spark, path)
-    write_text(spark, path + ".new", text, overwrite=True)
-    new = spark._jvm.org.apache.hadoop.fs.Path(path + ".new")
-    system.delete(p, False)
-    if not system.rename(new, p):
-        raise OSError(f"cannot replace {path}")
+    return sorted(f.getPath().getName() for f in system.listStatus(p)) if system.exists(p) else []
+
+
+def sizes(spark: SparkSession, files: list[str]) -> dict[str, int]:
+    """Files' lengths in bytes."""
+    out = {}
+    for f in files:
+        system, p = _at(spark, f)
+        out[f] = system.getFileStatus(p).getLen()
+    return out
 
 
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:

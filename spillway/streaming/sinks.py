@@ -8,23 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spillway.operators.writes import upsert
+from spillway.operators.writes import merge_into
 from spillway.sources.snapshots import VersionedTable
 
 
 def upsert_batches(table: VersionedTable, keys: Sequence[str], ordinal: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that merges each batch by key. A batch that was committed before (its number is in the snapshot's message) is not applied again."""
+    """A foreachBatch function that merges each batch by key. A batch that was committed before (its number is in a snapshot's message) is not applied again: batches are committed in order, so the newest number tells."""
+
+    def committed() -> int:
+        return next((int(s.message.split()[1]) for s in table.backward() if s.message.startswith("batch ")), -1) if table.newest() else -1
 
     def apply(batch: DataFrame, number: int) -> None:
-        done = [s.message for s in table.snapshots(expired=True)]
-        if f"batch {number}" in done:
+        if number <= committed():
             return
-        if table.snapshots():
-            base = table.current().id
-            table.overwrite(upsert(table.read(), batch, keys, ordinal), f"batch {number}", base=base)
-        else:
-            first = upsert(batch.limit(0).drop(*[ordinal] if ordinal else []), batch, keys, ordinal)
-            table.overwrite(first, f"batch {number}")
+        if not table.newest():
+            table.overwrite(batch.limit(0).drop(*[ordinal] if ordinal else []), "created")
+        merge_into(table, batch, keys, ordinal, message=f"batch {number}")
 
     return apply
 
