@@ -2,9 +2,10 @@
 
 A store has one root table with a lifecycle column and match keys, and any number of descendants that reach it by a
 chain of foreign keys; a descendant row goes where its root goes. Views show the union: hot rows at or above the
-watermark or without a date, late hot rows whose key is not cold, and cold rows. Every change of the cold side writes a
-new generation (all tables) and then replaces the small control file that names the active one, so a crash before that
-leaves the old state in force, and no published file is ever changed.
+watermark or without a date, late hot rows whose key is not cold, and cold rows. Every change of the cold side writes the files that
+are new as a generation and then publishes the next numbered control file, which lists all files in force, those carried
+over from earlier generations too. A control file appears whole or not at all and is never changed, so a crash before
+that leaves the old state in force and of two runs only one publishes. No published data file is ever changed either.
 
 Frames of the hot side are passed in and new hot states are returned; where hot rows live is up to the caller.
 """
@@ -15,16 +16,18 @@ import datetime as dt
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spillway.functions.temporal import bucket
-from spillway.operators.relational import duplicate_keys, union_by_name
+from spillway.operators.relational import duplicate_keys, keyset_page, union_by_name
+from spillway.plans.command import lifecycle
 from spillway.sources import fs
 
 
@@ -58,6 +61,16 @@ class Node:
     link: tuple[tuple[str, str], ...] = ()
 
 
+_GENERATION, _KEYS = "__generation", "__keys"
+#: Keys that a scope can name one by one.
+_SCOPE_KEYS = 10_000
+
+
+def _tail(path: str) -> str:
+    """What tells a data file from others, however its path is spelt: generation, partitions (which may be encoded once or twice) and name."""
+    return unquote(unquote(path.rsplit(f"/{_GENERATION}=", 1)[-1]))
+
+
 _PRECISION = {"year": 0, "month": 1, "day": 2, "value": 3}
 
 
@@ -134,42 +147,61 @@ class TieredStore:
 
     # -- control ----------------------------------------------------------------------------------------------------
 
-    @property
-    def _control_path(self) -> str:
-        return f"{self.store.path}/_control.json"
+    def _control_path(self, version: int) -> str:
+        return f"{self.store.path}/_control/{version:012d}.json"
 
     def control(self) -> Control:
-        return Control(**json.loads(fs.read_text(self.spark, self._control_path))) if fs.exists(self.spark, self._control_path) else Control()
+        found = [n for n in fs.list_names(self.spark, f"{self.store.path}/_control") if n.endswith(".json")]
+        return Control(**json.loads(fs.read_text(self.spark, f"{self.store.path}/_control/{max(found)}"))) if found else Control()
 
     def _publish(self, now: Control, base: int) -> Control:
-        if self.control().version != base:
-            raise TierError("another run published first")
         now.version = base + 1
         now.history = [*now.history, {"version": now.version, "generation": now.generation, "watermark": now.watermark, "at": time.time()}]
-        fs.replace_text(self.spark, self._control_path, json.dumps(asdict(now)))
-        marker = f"{self.store.path}/{now.generation}/_candidate.json"
-        if now.generation and fs.exists(self.spark, marker):
-            fs.delete(self.spark, marker)
+        try:
+            if self.control().version != base:
+                raise FileExistsError
+            fs.publish_text(self.spark, self._control_path(now.version), json.dumps(asdict(now)))
+        except FileExistsError as e:
+            raise TierError("another run published first") from e
+        if now.generation:
+            fs.delete(self.spark, self._marker(now.generation))
         return now
 
+    def _marker(self, generation: str) -> str:
+        return f"{self.store.path}/_candidates/{generation}.json"
+
+    def candidates(self) -> list[str]:
+        """Generations that were begun and not published; refused if another store began one here."""
+        found = [n.removesuffix(".json") for n in fs.list_names(self.spark, f"{self.store.path}/_candidates") if n.endswith(".json")]
+        for name in found:
+            owner = json.loads(fs.read_text(self.spark, self._marker(name)))["store"]
+            if owner != self.store.root.name:
+                raise TierError(f"{name} was begun by the store of {owner}")
+        return found
+
     def watermark(self) -> dt.datetime | None:
         w = self.control().watermark
         return dt.datetime.fromisoformat(w) if w else None
 
     # -- cold side --------------------------------------------------------------------------------------------------
 
+    def _base(self, node: str) -> str:
+        return f"{self.store.path}/data/{node}"
+
+    def _stored(self, node: str, files: Sequence[str], schema: T.StructType) -> DataFrame:
+        """Rows of files of any generations, with their partition columns."""
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self._base(node)).parquet(*files).select(*schema.names)
+
     def cold(self, node: str | None = None, where: Column | None = None, bounds: Sequence[tuple[str, str, object]] = (), hidden: bool = False) -> DataFrame | None:
-        """Rows of the active generation, from its catalogued files; bounds prune partitions (see pruning)."""
+        """Rows in force, from the catalogued files; bounds prune partitions (see pruning)."""
         name, now = node or self.store.root.name, self.control()
         if not now.generation:
             return None
         schema = T.StructType.fromJson(now.schemas[name])
-        base = f"{self.store.path}/{now.generation}/{name}"
         plain = T.StructType([f for f in schema.fields if f.name not in self._hidden(now)])
-        if not now.files[name]:
-            df = self.spark.createDataFrame([], schema)
-        else:
-            df = self.spark.read.schema(schema).option("basePath", base).parquet(*now.files[name])
+        df = self._stored(name, now.files[name], schema)
         if bounds and now.layout == self.store.layout():
             for cond in self.pruning(bounds):
                 df = df.filter(cond)
@@ -195,30 +227,41 @@ class TieredStore:
         return out
 
     def key_index(self) -> DataFrame | None:
-        """The distinct match keys of the active generation."""
-        cold = self.cold()
-        return None if cold is None else cold.select(*self.store.root.keys).distinct()
-
-    def _write(self, tables: dict[str, DataFrame], now: Control) -> Control:
-        """Writes a new generation; it does not count until it is published."""
-        name = f"generation-{now.version + 1:06d}-{uuid.uuid4().hex[:8]}"
-        fs.write_text(self.spark, f"{self.store.path}/{name}/_candidate.json", json.dumps({"store": self.store.root.name, "layout": self.store.layout()}))
+        """The distinct match keys of the cold rows, as each generation kept those of its own files."""
+        now = self.control()
+        return self._stored(_KEYS, now.files[_KEYS], T.StructType.fromJson(now.schemas[_KEYS])) if now.generation else None
+
+    def _write(self, tables: dict[str, DataFrame], now: Control, keep: dict[str, list[str]] | None = None) -> Control:
+        """Writes rows as a new generation, beside the files to keep; it does not count until it is published."""
+        self.candidates()
+        name = f"{now.version + 1:06d}-{uuid.uuid4().hex[:8]}"
+        fs.write_text(self.spark, self._marker(name), json.dumps({"store": self.store.root.name, "layout": self.store.layout()}))
         made = Control(now.watermark, name, now.from_bound, self.store.layout(), {}, {}, now.version, now.history)
+        names = [p.name for p in self.store.plan]
         for node, df in tables.items():
             for p in self.store.plan:
                 if p.name not in df.columns:
                     df = df.withColumn(p.name, p.expr(F.col(p.column)))
-            path = f"{self.store.path}/{name}/{node}"
+            if keep:  # columns that the kept files have, in their order, and new ones
+                held = T.StructType.fromJson(now.schemas[node])
+                df = df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in held.fields], *[c for c in df.columns if c not in held.names])
+            path = f"{self._base(node)}/{_GENERATION}={name}"
             # Rows of a partition come together first, so that it is not many small files; AQE cuts partitions that are large.
-            names = [p.name for p in self.store.plan]
             df.hint("rebalance", *names).write.partitionBy(*names).parquet(path)
             made.files[node] = fs.list_files(self.spark, path, ".parquet")
-            order = [f for f in df.schema.fields if f.name not in {p.name for p in self.store.plan}] + [df.schema[p.name] for p in self.store.plan]
-            made.schemas[node] = T.StructType(order).jsonValue()
+            order = [f for f in df.schema.fields if f.name not in names] + [df.schema[n] for n in names]
+            made.schemas[node] = T.StructType([T.StructField(f.name, f.dataType, True) for f in order]).jsonValue()
+        root = self.store.root
+        keys = self._stored(root.name, made.files[root.name], T.StructType.fromJson(made.schemas[root.name])).select(*root.keys).distinct()
+        path = f"{self._base(_KEYS)}/{_GENERATION}={name}"
+        keys.write.parquet(path)
+        made.files[_KEYS], made.schemas[_KEYS] = fs.list_files(self.spark, path, ".parquet"), T.StructType([T.StructField(f.name, f.dataType, True) for f in keys.schema.fields]).jsonValue()
+        made.files = {n: [*(keep or {}).get(n, ()), *files] for n, files in made.files.items()}
         return made
 
-    def _counts(self, made: Control) -> dict[str, int]:
-        return {n: self.spark.read.schema(T.StructType.fromJson(s)).option("basePath", f"{self.store.path}/{made.generation}/{n}").parquet(*made.files[n]).count() if made.files[n] else 0 for n, s in made.schemas.items()}
+    def _counts(self, made: Control, but: dict[str, list[str]]) -> dict[str, int]:
+        """Rows of the files that are new, from their footers."""
+        return {n.name: self._stored(n.name, [f for f in made.files[n.name] if f not in but.get(n.name, ())], T.StructType.fromJson(made.schemas[n.name])).count() for n in self.store.nodes}
 
     # -- roots of children ------------------------------------------------------------------------------------------
 
@@ -293,9 +336,15 @@ class TieredStore:
         return out
 
     def archive(self, tables: dict[str, DataFrame], cutoff: dt.datetime, low: dt.datetime | None = None) -> Control:
-        """Copies the window up to the aligned cutoff into a new generation (with what is cold already), checks the counts and moves the watermark.
+        """Copies the window up to the aligned cutoff into a new generation, checks the counts and moves the watermark. Files of what is cold already are carried over.
 
         Rows whose key is cold stay out of the copy: same data is a retry, other data is a conflict and refuses the run."""
+        with lifecycle("archive", store=self.store.root.name, cutoff=str(cutoff)) as facts:
+            made = self._archive(tables, cutoff, low)
+            facts["generation"] = made.generation
+            return made
+
+    def _archive(self, tables: dict[str, DataFrame], cutoff: dt.datetime, low: dt.datetime | None) -> Control:
         now, cutoff = self.control(), align(cutoff, self.store.granularity)
         if now.watermark and cutoff < dt.datetime.fromisoformat(now.watermark):
             raise TierError("the cutoff lies below the watermark")
@@ -303,21 +352,16 @@ class TieredStore:
             raise TierError(f"the source is not sound: {bad}")
         if now.generation and self.conflicts(tables[self.store.root.name]).limit(1).count():
             raise TierError("hot rows differ from cold rows of the same key; reconcile first")
+        if now.generation and now.layout != self.store.layout():
+            raise TierError("the cold rows have another layout; rewrite the contract first")
         new = self.window(tables, low if now.watermark is None else None, cutoff)
-        full = {}
         index = self.key_index()
-        for n in self.store.nodes:
+        for n in self.store.nodes if index is not None else ():
             add = new[n.name]
-            if index is not None:
-                if n is self.store.root:
-                    add = add.join(index, list(n.keys), "left_anti").select(*add.columns)
-                else:
-                    add = self._not_cold(n, add, tables, index)
-                add = union_by_name(self.cold(n.name, hidden=True), add)
-            full[n.name] = add
-        expected = {n: df.count() for n, df in full.items()}
-        made = self._write(full, now)
-        if (got := self._counts(made)) != expected:
+            new[n.name] = add.join(index, list(n.keys), "left_anti").select(*add.columns) if n is self.store.root else self._not_cold(n, add, tables, index)
+        expected = {n: df.count() for n, df in new.items()}
+        made = self._write(new, now, now.files)
+        if (got := self._counts(made, now.files)) != expected:
             raise TierError(f"the copy holds {got} rows instead of {expected}")
         made.watermark = cutoff.isoformat()
         made.from_bound = low.isoformat() if low and now.watermark is None else now.from_bound
@@ -357,7 +401,7 @@ class TieredStore:
 
     def conflicts(self, hot: DataFrame, node: str | None = None) -> DataFrame:
         """Keys that are hot and cold with different data."""
-        n = next(x for x in self.store.nodes if x.name == (node or self.store.root.name))
+        n = self._node(node or self.store.root.name)
         cold = self.cold(n.name)
         if cold is None:
             return hot.select(*n.keys).limit(0)
@@ -380,36 +424,104 @@ class TieredStore:
                 out = out.join(parent.select(*[F.col(p).alias(f"__{p}") for _, p in n.link]), [F.col(c) == F.col(f"__{p}") for c, p in n.link], "left_anti")
         return out
 
-    def reconcile(self, hot: DataFrame, scope: Column | None = None, tombstones: DataFrame | None = None) -> Control:
-        """A new generation in which hot rows below the watermark, within scope, win by key, tombstoned keys are gone and other cold rows stay. Root-only stores, or descendants unchanged."""
+    def conflict_count(self, hot: DataFrame, node: str | None = None) -> int:
+        return self.conflicts(hot, node).count()
+
+    def conflict_page(self, hot: DataFrame, after: Sequence | None = None, take: int = 100, node: str | None = None) -> DataFrame:
+        """The conflicting keys after a key, in key order; a top-k, whatever the page."""
+        n = self._node(node or self.store.root.name)
+        return keyset_page(self.conflicts(hot, node).distinct(), n.keys, after, take)
+
+    def conflict_stream(self, hot: DataFrame, node: str | None = None) -> Iterator[Row]:
+        """The conflicting keys one by one; the driver holds a partition of them at a time."""
+        yield from self.conflicts(hot, node).distinct().toLocalIterator()
+
+    def _node(self, name: str) -> Node:
+        return next(n for n in self.store.nodes if n.name == name)
+
+    def scope(self, prefix: Sequence[object] = (), keys: DataFrame | None = None) -> Column:
+        """A boundary of upkeep: values of the leading partitions in their order, or the root's keys (then as a condition on them).
+
+        Anything else would cut partitions or keys apart, so it is refused."""
+        if bool(prefix) == (keys is not None):
+            raise TierError("a scope is a partition prefix or keys")
+        if keys is not None:
+            if list(keys.columns) != list(self.store.root.keys):
+                raise TierError(f"the keys are {', '.join(self.store.root.keys)}")
+            rows = keys.distinct().limit(_SCOPE_KEYS + 1).collect()
+            if len(rows) > _SCOPE_KEYS or any(v is None for r in rows for v in r):
+                raise TierError(f"a scope has at most {_SCOPE_KEYS} keys, without NULL")
+            return reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in zip(self.store.root.keys, r, strict=True)]) for r in rows], F.lit(False))
+        if len(prefix) > len(self.store.plan):
+            raise TierError("the prefix has more values than there are partitions")
+        return reduce(lambda a, b: a & b, [p.expr(F.col(p.column)) == F.lit(v) for p, v in zip(self.store.plan, prefix, strict=False)])
+
+    def reconcile(self, hot: DataFrame | dict[str, DataFrame], scope: Column | None = None, tombstones: DataFrame | None = None) -> Control:
+        """A new generation in which hot rows below the watermark, within scope, win by key, tombstoned keys are gone and other cold rows stay.
+
+        With all hot tables, the descendants of the roots that win are those that are hot; with the root alone, cold descendants stay."""
         now, w, keys = self.control(), self.watermark(), self.store.root.keys
         if not now.generation:
             raise TierError("nothing is archived")
+        tables = hot if isinstance(hot, dict) else {self.store.root.name: hot}
         ts = F.col(self.store.lifecycle)
-        source = hot.filter(ts < F.lit(w)) if scope is None else hot.filter((ts < F.lit(w)) & scope)
+        source = tables[self.store.root.name].filter(ts < F.lit(w))
+        source = source if scope is None else source.filter(scope)
+        if tombstones is not None:
+            source = source.join(tombstones.select(*keys), list(keys), "left_anti")
         if duplicate_keys(source, keys).limit(1).count():
             raise TierError("a key is hot more than once")
-        rest = self.cold().filter(ts < F.lit(w)).join(source.select(*keys), list(keys), "left_anti")
-        rows = union_by_name(source, rest.select(*self.cold().columns))
-        if tombstones is not None:
-            rows = rows.join(tombstones.select(*keys), list(keys), "left_anti")
-        full = {self.store.root.name: rows.select(*self.cold().columns)}
+        cold = {x.name: self.cold(x.name) for x in self.store.nodes}
+        won = source.select(*keys)
+        gone = won if tombstones is None else won.union(tombstones.select(*keys))
+        rest = cold[self.store.root.name].filter(ts < F.lit(w)).join(gone, list(keys), "left_anti")
+        plain = cold[self.store.root.name].columns
+        full = {self.store.root.name: union_by_name(rest.select(*plain), source).select(*plain)}
+        need = list(dict.fromkeys(p.column for p in self.store.plan))
+
+        def of(n: Node, rows: dict[str, DataFrame], which: DataFrame, how: str) -> DataFrame:
+            mine = which.select(*[F.col(k).alias(f"__root_{k}") for k in keys])
+            return self.with_root(n, rows, list(keys)).join(mine, [f"__root_{k}" for k in keys], how).select(*rows[n.name].columns)
+
         for n in self.store.children:
-            kept = self.cold(n.name, hidden=True)
-            if tombstones is not None:
-                cold = {x.name: self.cold(x.name) for x in self.store.nodes} | {n.name: kept}
-                led = self.with_root(n, cold, list(keys))
-                kept = led.join(tombstones.select(*[F.col(k).alias(f"__root_{k}") for k in keys]), [f"__root_{k}" for k in keys], "left_anti").select(*kept.columns)
-            full[n.name] = kept
+            if n.name in tables:
+                kept = of(n, cold, gone, "left_anti")
+                new = of(n, tables, won, "left_semi")
+                rows = union_by_name(kept, new).select(*cold[n.name].columns)
+            else:
+                rows = cold[n.name] if tombstones is None else of(n, cold, tombstones, "left_anti")
+            # Descendants lie where their root lies now.
+            parents = {x.name: self._merged(x, tables, cold, gone, won) if x.name in tables else cold[x.name] for x in self.store.children} | {self.store.root.name: full[self.store.root.name], n.name: rows}
+            led = self.with_root(n, parents, need)
+            full[n.name] = led.select(*rows.columns, *[p.expr(F.col(f"__root_{p.column}")).alias(p.name) for p in self.store.plan if p.name not in rows.columns])
         return self._publish(self._write(full, now), now.version)
 
-    def restore(self, hot: DataFrame, scope: Column) -> DataFrame:
-        """The hot side with the cold rows in scope added that are not hot; refused if a hot row of the same key differs."""
-        cold, keys = self.cold().filter(scope), self.store.root.keys
-        data = [c for c in hot.columns if c in cold.columns and c not in keys]
-        if hot.alias("h").join(cold.alias("c"), _on("h", "c", keys) & ~same_row("h", "c", data)).limit(1).count():
-            raise TierError("a row to restore is hot with other data")
-        return union_by_name(hot, cold.join(hot.select(*keys), list(keys), "left_anti").select(*cold.columns)).select(*hot.columns)
+    def _merged(self, n: Node, tables: dict[str, DataFrame], cold: dict[str, DataFrame], gone: DataFrame, won: DataFrame) -> DataFrame:
+        keys = self.store.root.keys
+        out = []
+        for rows, which, how in ((cold, gone, "left_anti"), (tables, won, "left_semi")):
+            mine = which.select(*[F.col(k).alias(f"__root_{k}") for k in keys])
+            out.append(self.with_root(n, rows, list(keys)).join(mine, [f"__root_{k}" for k in keys], how).select(*rows[n.name].columns))
+        return union_by_name(*out).select(*cold[n.name].columns)
+
+    def restore(self, hot: DataFrame | dict[str, DataFrame], scope: Column) -> DataFrame | dict[str, DataFrame]:
+        """The hot side with the cold rows of roots in scope added that are not hot; refused if a hot row of the same key differs.
+
+        With all hot tables, descendants of these roots come along and all tables are given back."""
+        tables = hot if isinstance(hot, dict) else {self.store.root.name: hot}
+        cold = {x.name: self.cold(x.name) for x in self.store.nodes}
+        roots, keys, out = cold[self.store.root.name].filter(scope), self.store.root.keys, dict(tables)
+        mine = roots.select(*[F.col(k).alias(f"__root_{k}") for k in keys])
+        for n in self.store.nodes:
+            if n.name not in tables:
+                continue
+            back = roots if n is self.store.root else self.with_root(n, cold, list(keys)).join(mine, [f"__root_{k}" for k in keys], "left_semi").select(*cold[n.name].columns)
+            here = tables[n.name]
+            data = [c for c in here.columns if c in back.columns and c not in n.keys]
+            if here.alias("h").join(back.alias("c"), _on("h", "c", n.keys) & ~same_row("h", "c", data)).limit(1).count():
+                raise TierError(f"a row of {n.name} to restore is hot with other data")
+            out[n.name] = union_by_name(here, back.join(here.select(*n.keys), list(n.keys), "left_anti").select(*back.columns)).select(*here.columns)
+        return out if isinstance(hot, dict) else out[self.store.root.name]
 
     # -- upkeep -----------------------------------------------------------------------------------------------------
 
@@ -433,14 +545,28 @@ class TieredStore:
         """The same rows in as few files as their sizes ask for."""
         return self._rewrite(lambda n, rows, roots: rows)
 
-    def contract(self) -> dict:
-        """Whether the active generation has this store's partition layout."""
+    def contract(self, tables: dict[str, DataFrame] | None = None) -> dict:
+        """Whether the cold rows have this store's partition layout and, if tables are given, their columns: per table what was added, dropped or retyped."""
         now = self.control()
-        return {"active": now.layout, "wanted": self.store.layout(), "rewrite": bool(now.generation) and now.layout != self.store.layout()}
+        out = {"active": now.layout, "wanted": self.store.layout(), "columns": {}, "rewrite": bool(now.generation) and now.layout != self.store.layout()}
+        for n, df in (tables or {}).items() if now.generation else ():
+            old = {f.name: f.dataType for f in T.StructType.fromJson(now.schemas[n]).fields if f.name not in self._hidden(now)}
+            new = {f.name: f.dataType for f in df.schema.fields}
+            out["columns"][n] = {"added": [c for c in new if c not in old], "dropped": [c for c in old if c not in new], "retyped": [c for c in new if c in old and new[c] != old[c]]}
+            out["rewrite"] |= any(out["columns"][n].values())
+        return out
 
-    def rewrite_contract(self) -> Control:
-        """A new generation in this store's layout."""
-        return self._rewrite(lambda n, rows, roots: rows, layout=True)
+    def rewrite_contract(self, tables: dict[str, DataFrame] | None = None) -> Control:
+        """A new generation in this store's layout and, if tables are given, with their columns: added ones are NULL, dropped ones go, others are cast."""
+
+        def change(n: Node, rows: DataFrame, roots: DataFrame) -> DataFrame:
+            if not tables or n.name not in tables:
+                return rows
+            own = tables[n.name].schema.fields
+            extra = [p.name for p in self.store.plan if p.name in rows.columns and p.name not in tables[n.name].columns]
+            return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in own], *extra)
+
+        return self._rewrite(change, layout=True)
 
     def retention(self, boundary: dt.datetime, keep: Column | None = None, dry_run: bool = True) -> dict[str, int] | Control:
         """Keeps cold roots at or above the boundary or in keep, and their descendants. dry_run counts what would stay and go."""
@@ -462,36 +588,70 @@ class TieredStore:
         return self._rewrite(change)
 
     def purge_older_than(self, boundary: dt.datetime) -> int:
-        """Drops whole partitions below the aligned boundary; the number of roots that went."""
-        gone = self.retention(align(boundary, self.store.granularity))["removed"]
-        if gone:
-            self.retention(align(boundary, self.store.granularity), dry_run=False)
-        return gone
+        """Takes the files of partitions below the aligned boundary out of force, of descendants too; nothing is rewritten. The number of roots that went."""
+        now, edge = self.control(), align(boundary, self.store.granularity)
+        if not now.generation:
+            return 0
+        if now.layout != self.store.layout():
+            raise TierError("the cold rows have another layout; rewrite the contract first")
+        p = max((p for p in self.store.plan if p.column == self.store.lifecycle), key=lambda p: _PRECISION[p.by])
+        below = F.col(p.name) < (F.lit(edge) if p.by == "value" else bucket(F.lit(edge).cast("timestamp_ntz"), p.by))
+        gone: dict[str, dict[str, int]] = {}
+        for n in self.store.nodes:
+            rows = self._stored_with_file(n.name, now).filter(below).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
+            gone[n.name] = {_tail(r["__file"]): r["n"] for r in rows.collect()}
+        removed = sum(gone[self.store.root.name].values())
+        if removed or any(gone.values()):
+            kept = {n: [f for f in files if _tail(f) not in gone.get(n, ())] for n, files in now.files.items()}
+            made = Control(now.watermark, now.generation, now.from_bound, now.layout, now.schemas, kept, now.version, now.history)
+            root = self.store.root
+            # The keys of what stays; the key files hold no dates, so they are made anew, from the key columns alone.
+            keys = self._stored(root.name, kept[root.name], T.StructType.fromJson(now.schemas[root.name])).select(*root.keys).distinct()
+            path = f"{self._base(_KEYS)}/{_GENERATION}={now.version + 1:06d}-{uuid.uuid4().hex[:8]}"
+            keys.write.parquet(path)
+            made.files[_KEYS] = fs.list_files(self.spark, path, ".parquet")
+            self._publish(made, now.version)
+        return removed
+
+    def _stored_with_file(self, node: str, now: Control) -> DataFrame:
+        schema = T.StructType.fromJson(now.schemas[node])
+        if not now.files[node]:
+            return self.spark.createDataFrame([], schema).withColumn("__file", F.lit(""))
+        df = self.spark.read.schema(schema).option("basePath", self._base(node)).parquet(*now.files[node])
+        return df.select(*[p.name for p in self.store.plan], F.col("_metadata.file_path").alias("__file"))
 
     def inventory(self) -> list[dict]:
-        """All generations found: active, superseded (published once) or candidate (never published)."""
+        """All generations found: active (some of its files are in force), superseded (published once) or candidate (never published)."""
         now = self.control()
         named = {h["generation"] for h in now.history}
+        live = {_tail(f) for files in now.files.values() for f in files}
         found: dict[str, dict] = {}
-        for f in fs.list_files(self.spark, self.store.path):
-            part = f.split("/generation-", 1)
-            if len(part) == 2:
-                name = "generation-" + part[1].split("/")[0]
-                g = found.setdefault(name, {"generation": name, "files": 0, "state": "active" if name == now.generation else "superseded" if name in named else "candidate"})
-                g["files"] += f.endswith(".parquet")
+        for node in fs.list_names(self.spark, f"{self.store.path}/data"):
+            for f in fs.list_files(self.spark, self._base(node), ".parquet") if node != _KEYS else ():
+                name = f.split(f"/{_GENERATION}=", 1)[1].split("/")[0]
+                g = found.setdefault(name, {"generation": name, "files": 0, "in_force": 0, "state": "superseded" if name in named else "candidate"})
+                g["files"] += 1
+                g["in_force"] += _tail(f) in live
+        for name in self.candidates():
+            found.setdefault(name, {"generation": name, "files": 0, "in_force": 0, "state": "superseded" if name in named else "candidate"})
+        for name, g in found.items():
+            if g["in_force"] or name == now.generation:
+                g["state"] = "active"
         return sorted(found.values(), key=lambda g: g["generation"])
 
     def cleanup(self, keep_superseded: int = 1, dry_run: bool = True) -> list[str]:
-        """Generations that can go: candidates and all but the newest superseded ones. The active one is checked again before anything is deleted."""
+        """Generations that can go: candidates and all but the newest superseded ones. What is in force is checked again before anything is deleted."""
         every = self.inventory()
         old = [g["generation"] for g in every if g["state"] == "superseded"]
         gone = [g["generation"] for g in every if g["state"] == "candidate"] + (old[:-keep_superseded] if keep_superseded else old)
         if not dry_run:
-            active = self.control().generation
+            active = {g["generation"] for g in self.inventory() if g["state"] == "active"}
+            if active & set(gone):
+                raise TierError("the plan is out of date")
             for name in gone:
-                if name == active:
-                    raise TierError("the plan is out of date")
-                fs.delete(self.spark, f"{self.store.path}/{name}")
+                for node in fs.list_names(self.spark, f"{self.store.path}/data"):
+                    fs.delete(self.spark, f"{self._base(node)}/{_GENERATION}={name}")
+                fs.delete(self.spark, self._marker(name))
         return gone
 
     def checkpoint(self) -> str:
@@ -501,8 +661,8 @@ class TieredStore:
     def recover(self, captured: str) -> Control:
         """Puts a captured state in force again, if all its files are still there."""
         was, now = Control(**json.loads(captured)), self.control()
-        have = set(fs.list_files(self.spark, f"{self.store.path}/{was.generation}", ".parquet")) if was.generation else set()
-        if lost := [f for files in was.files.values() for f in files if f not in have]:
+        have = {_tail(f) for node in was.files for f in fs.list_files(self.spark, self._base(node), ".parquet")}
+        if lost := [f for files in was.files.values() for f in files if _tail(f) not in have]:
             raise TierError(f"{len(lost)} files of the checkpoint are gone")
         was.history = now.history
         return self._publish(was, now.version)
@@ -513,3 +673,33 @@ class TieredStore:
         fs.write_text(self.spark, path, "probe")
         if fs.read_text(self.spark, path) != "probe" or not fs.delete(self.spark, path):
             raise TierError(f"{self.store.path} does not keep what is written")
+
+
+class SharedChild:
+    """A child table that rows of several roots, each with a store of its own, point to their parents with."""
+
+    def __init__(self, stores: Sequence[TieredStore], name: str):
+        self.stores, self.name = list(stores), name
+        self.keys = self.stores[0]._node(name).keys
+        if any(s._node(name).keys != self.keys for s in self.stores):
+            raise ValueError(f"{name} has other keys in another store")
+
+    def _bound(self, s: TieredStore, tables: dict[str, DataFrame]) -> DataFrame:
+        """Hot child rows with a parent in this store, hot or cold."""
+        n = s._node(self.name)
+        parents = [tables[n.parent], *([s.cold(n.parent)] if s.control().generation else [])]
+        held = reduce(DataFrame.union, [p.select(*[F.col(c).alias(f"__{c}") for _, c in n.link]) for p in parents]).distinct()
+        return tables[self.name].join(held, [F.col(c) == F.col(f"__{p}") for c, p in n.link], "left_semi")
+
+    def ambiguous(self, tables: dict[str, DataFrame]) -> DataFrame:
+        """Keys of child rows that are bound to roots of more than one store."""
+        bound = [self._bound(s, tables).select(*self.keys).distinct() for s in self.stores]
+        return duplicate_keys(reduce(DataFrame.union, bound), self.keys).select(*self.keys)
+
+    def view(self, tables: dict[str, DataFrame]) -> DataFrame:
+        """Each store's view of the rows bound to it, and hot rows that are bound to none; a row of several stores once."""
+        hot = tables[self.name]
+        bound = [self._bound(s, tables) for s in self.stores]
+        views = [s.view_child(self.name, tables | {self.name: b}).select(*hot.columns) for s, b in zip(self.stores, bound, strict=True)]
+        free = hot.join(reduce(DataFrame.union, [b.select(*self.keys) for b in bound]).distinct(), list(self.keys), "left_anti").select(*hot.columns)
+        return union_by_name(*views, free).dropDuplicates(list(self.keys))
