@@ -19,8 +19,42 @@ def path(*steps: str | int) -> str:
     return out
 
 
+def _at(x: Column, steps: tuple[str | int, ...]) -> Column:
+    """The text at a path. Names with a single quote, which paths cannot hold, are looked up in the object's fields."""
+    plain: list[str | int] = []
+    for i, s in enumerate(steps):
+        if isinstance(s, str) and "'" in s:
+            held = F.get_json_object(x, path(*plain)) if plain else x
+            return _at(F.get(F.map_values(F.map_filter(F.from_json(held, "map<string,string>"), lambda k, _: k == F.lit(s))), F.lit(0)), steps[i + 1 :])
+        plain.append(s)
+    return F.get_json_object(x, path(*plain)) if plain else x
+
+
 def value(x: Column, *steps: str | int, kind: str = "string") -> Column:
-    return F.get_json_object(x, path(*steps)).cast(kind)
+    return _at(x, steps).cast(kind)
+
+
+def canonical(x: Column) -> Column:
+    """Valid JSON without blanks and with each object's fields in order, so that equal documents are equal texts; else NULL."""
+    return F.to_json(F.try_parse_json(x))
+
+
+def equal(a: Column, b: Column) -> Column:
+    """Whether two texts are the same JSON document, whatever the order of fields; two-valued."""
+    return canonical(a).eqNullSafe(canonical(b))
+
+
+def owned(x: Column, schema: str) -> Column:
+    """An owned object as a struct, whose fields can be filtered, grouped and set."""
+    return F.from_json(x, schema)
+
+
+def set_fields(x: Column, schema: str, **fields: Column) -> Column:
+    """The text with fields of the owned object set; NULL stays NULL. schema names all fields that are to stay."""
+    made = owned(x, schema)
+    for name, v in fields.items():
+        made = made.withField(name, v)
+    return F.when(x.isNotNull(), F.to_json(made))
 
 
 def element(x: Column, index: Column, kind: str = "string") -> Column:

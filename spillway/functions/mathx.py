@@ -84,7 +84,7 @@ def xor_bool(a: Column, b: Column) -> Column:
 
 def divide_int(a: Column, b: Column) -> Column:
     """Integer division that drops the remainder toward zero, as the query language has it; NULL for a zero divisor."""
-    return F.when(b != 0, ((a - F.try_mod(a, b)) / b).cast("long"))
+    return F.when(b != 0, F.call_function("div", a.cast("long"), b.cast("long")))
 
 
 def quotient_type(p1: int, s1: int, p2: int, s2: int) -> tuple[int, int]:

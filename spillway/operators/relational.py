@@ -112,3 +112,41 @@ def scalar_terminal(df: DataFrame, kind: str, column: str | None = None):
     if made is None and kind != "sum":
         raise ValueError("the sequence has no element")
     return 0 if made is None else made
+
+
+# -- models ------------------------------------------------------------------------------------------------------------
+def per_concrete_type(**tables: DataFrame) -> DataFrame:
+    """One table per concrete type: their rows by column name, with the type's name as discriminator."""
+    return union_by_name(*[df.withColumn("discriminator", F.lit(name)) for name, df in tables.items()])
+
+
+def per_type(base: DataFrame, key: str, **derived: DataFrame) -> DataFrame:
+    """A base table and one of own columns per derived type, by key: rows of no derived type have the name base."""
+    out, kind = base, F.lit("base")
+    for name, df in derived.items():
+        out = out.join(df.withColumn(f"__is_{name}", F.lit(True)).withColumnRenamed(key, f"__key_{name}"), F.col(key) == F.col(f"__key_{name}"), "left")
+        kind = F.when(F.col(f"__is_{name}"), F.lit(name)).otherwise(kind)
+    return out.withColumn("discriminator", kind).drop(*[f"__is_{n}" for n in derived], *[f"__key_{n}" for n in derived])
+
+
+def of_type(df: DataFrame, *names: str) -> DataFrame:
+    return df.filter(F.col("discriminator").isin(*names))
+
+
+class Filters:
+    """Conditions that hold for every query of a table unless it is told to ignore them."""
+
+    def __init__(self):
+        self._by: dict[str, dict[str, Column]] = {}
+
+    def add(self, table: str, name: str, condition: Column) -> None:
+        self._by.setdefault(table, {})[name] = condition
+
+    def apply(self, table: str, df: DataFrame, ignore: bool | Sequence[str] = ()) -> DataFrame:
+        """df with the table's conditions, but for those to ignore (all of them: True). NULL is not true."""
+        if ignore is True:
+            return df
+        for name, condition in self._by.get(table, {}).items():
+            if name not in ignore:
+                df = df.filter(condition)
+        return df

@@ -43,6 +43,26 @@ class CommandPlan:
         return self.frame(spark)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
+def tagged(sql: str, *tags: str) -> str:
+    """SQL with tags as comments in front, a line each, as logs and the history of queries show them."""
+    return "".join(f"-- {line}\n" for tag in tags for line in tag.splitlines()) + sql
+
+
+@contextmanager
+def tags(spark: SparkSession, *names: str) -> Iterator[None]:
+    """Jobs that run within carry the tags, by which they are found and can be cancelled."""
+    before = spark.sparkContext.getLocalProperty("spark.job.description")
+    for n in names:
+        spark.addTag(n)
+    spark.sparkContext.setLocalProperty("spark.job.description", ", ".join(names))
+    try:
+        yield
+    finally:
+        for n in names:
+            spark.removeTag(n)
+        spark.sparkContext.setLocalProperty("spark.job.description", before)
+
+
 def capture(sql: str, kind: str = "query", column: str | None = None, **args: Any) -> CommandPlan:
     if kind not in _TERMINALS:
         raise ValueError(f"{kind} is none of {', '.join(_TERMINALS)}")
