@@ -136,6 +136,10 @@ select("date_daynumber", "orders", "o_orderkey", {"r": (lambda: D.day_number(c("
 select("dt_add_months", "orders", "o_orderkey", {"y": (lambda: D.add_years(c("o_orderdate"), 1), "o_orderdate + to_years(1)"), "m": (lambda: D.add_months(c("o_orderdate"), F.pmod(c("o_custkey"), F.lit(5)).cast("int")), "o_orderdate + to_months(CAST(o_custkey % 5 AS INT))"), "d": (lambda: D.add_months(c("o_orderdate").cast("date"), 1), "CAST(CAST(o_orderdate AS DATE) + to_months(1) AS DATE)")})
 select("dt_add_days", "orders", "o_orderkey", {"f": (lambda: D.add_days(c("o_orderdate"), 1.5), "o_orderdate + INTERVAL '36 hours'"), "w": (lambda: D.add_days(c("o_orderdate").cast("date"), 10, whole=True), "CAST(CAST(o_orderdate AS DATE) + to_days(10) AS DATE)")})
 select("dt_diff", "events", "event_id", {u: (lambda u=u: D.diff(u, c("ts"), F.lit("2024-01-10 10:59:30").cast("timestamp_ntz")), f"CAST(date_diff('{s}', TIMESTAMP '2024-01-10 10:59:30', ts) AS DOUBLE)") for u, s in (("days", "day"), ("hours", "hour"), ("minutes", "minute"), ("seconds", "second"), ("milliseconds", "millisecond"), ("microseconds", "microsecond"))})
+_AT = "(ts - INTERVAL '330 minutes')"
+select("offset_parts", "events", "event_id", {p + "_": (lambda p=p: D.offset_part(D.instant(c("ts"), 330), p), f"CAST({p}({_AT}) AS INT)") for p in (*_PARTS, "dayofyear")})
+select("offset_arith", "events", "event_id", {"later": (lambda: D.utc(D.add_days(D.instant(c("ts"), -60), 1.5)), "ts + INTERVAL '60 minutes' + INTERVAL '36 hours'"), "same": (lambda: D.instant(c("ts"), 330) == D.instant(c("ts") - F.expr("INTERVAL '90' MINUTE"), 240), "true"), "hours": (lambda: D.diff("hours", D.utc(D.instant(c("ts"), 0)), F.lit("2024-01-10 10:59:30").cast("timestamp_ntz")), "CAST(date_diff('hour', TIMESTAMP '2024-01-10 10:59:30', ts) AS DOUBLE)")})
+select("dt_diff_nanos", "events", "event_id", {"r": (lambda: D.diff("nanoseconds", c("ts"), F.lit("2024-01-10 10:59:30").cast("timestamp_ntz")), "CAST(date_diff('microsecond', TIMESTAMP '2024-01-10 10:59:30', ts) AS DOUBLE) * 1000")})
 select("dt_trunc", "orders", "o_orderkey", {g: (lambda g=g: D.bucket(c("o_orderdate"), g), f"CAST(date_trunc('{g}', o_orderdate) AS DATE)") for g in ("year", "month", "day")})
 select("time_parts", "events", "event_id", {"h": (lambda: D.span_part(D.time_micros(c("ts")), "hours"), "CAST(hour(CAST(ts AS TIME)) AS INT)"), "m": (lambda: D.span_part(D.time_micros(c("ts")), "minutes"), "CAST(minute(CAST(ts AS TIME)) AS INT)"), "s": (lambda: D.span_part(D.time_micros(c("ts")), "seconds"), "CAST(second(CAST(ts AS TIME)) AS INT)")})
 select("timespan_parts", "events", "event_id", {"us": (lambda: D.span_part(D.time_micros(c("ts")), "microseconds"), "CAST(microsecond(ts) % 1000 AS INT)"), "ms": (lambda: D.span_part(D.time_micros(c("ts")), "milliseconds"), "CAST(millisecond(ts) % 1000 AS INT)")})
@@ -201,6 +205,29 @@ def json_each(t):
     return J.each(t.events.select("event_id", _ja().alias("j")), "j", "bigint", "a.b").select("event_id", "key", "value")
 
 
+_JQ = "('{\"it''s\": {\"n\": ' || event_id || '}}')"
+
+
+def _jq():
+    return F.concat(F.lit('{"it\'s": {"n": '), F.col("event_id").cast("string"), F.lit("}}"))
+
+
+select("json_quoted_name", "events", "event_id", {"r": (lambda: J.value(_jq(), "it's", "n", kind="bigint"), f"CAST({_JQ}::JSON ->> '$.\"it''s\".n' AS BIGINT)"), "none": (lambda: J.value(_jq(), "it's", "m"), "CAST(NULL AS VARCHAR)")})
+select("json_equal", "events", "event_id", {"r": (lambda: J.equal(F.concat(F.lit('{"b": 1, "k": '), F.col("event_id").cast("string"), F.lit("}")), F.concat(F.lit('{"k":'), (F.col("event_id") - F.col("event_id") % 2).cast("string"), F.lit(',"b":1}'))), "event_id % 2 = 0"), "n": (lambda: J.equal(c("props"), F.lit(None).cast("string")), "false")})
+select("json_update", "events", "event_id", {"k": (lambda: J.value(J.set_fields(c("props"), "k int", k=J.owned(c("props"), "k int")["k"] + 1), "k", kind="int"), "CAST(props::JSON ->> '$.k' AS INT) + 1")})
+
+
+@query("SELECT event_id FROM events WHERE CAST(props::JSON ->> '$.k' AS INT) > 50 AND event_type = 'click'")
+def json_owned_filter(t):
+    return t.events.filter((J.owned(F.col("props"), "k int")["k"] > 50) & (F.col("event_type") == "click")).select("event_id")
+
+
+@query("SELECT k FROM (SELECT CAST(props::JSON ->> '$.k' AS INT) AS k FROM events WHERE event_type = 'view' INTERSECT SELECT CAST(props::JSON ->> '$.k' AS INT) FROM events WHERE event_type = 'error')")
+def json_owned_set_ops(t):
+    of = lambda kind: t.events.filter(F.col("event_type") == kind).select(J.owned(F.col("props"), "k int").alias("p"))
+    return of("view").intersect(of("error")).select("p.k")
+
+
 @query("SELECT CAST(props::JSON ->> '$.k' AS INT) AS k, count(*) AS n FROM events GROUP BY 1")
 def json_owned(t):
     return t.events.select(F.from_json("props", "k int").alias("p")).groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))

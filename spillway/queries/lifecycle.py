@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import tempfile
 import uuid
@@ -11,10 +12,13 @@ from pyspark.sql import functions as F
 from spillway.functions import strings as S
 from spillway.operators import writes as W
 from spillway.operators.export import export_parquet
-from spillway.operators.tiered import Node, Partition, Store, TieredStore
+from spillway.operators.tiered import Node, Partition, SharedChild, Store, TieredStore
 from spillway.queries.registry import query
-from spillway.sources import files
+from spillway.session import configure
+from spillway.sources import files, fs
+from spillway.sources.catalogs import Catalog, Catalogs
 from spillway.sources.snapshots import VersionedTable
+from spillway.types import inspect
 
 
 def c(name):
@@ -22,9 +26,27 @@ def c(name):
 
 
 def scratch(t, name: str) -> str:
-    """A new folder in the shared folder of the cluster, or a local one where none is set."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    return f"{base.rstrip('/')}/spillway-query-{name}-{uuid.uuid4().hex}"
+    """A new folder in the shared folder of the cluster, deleted when the program ends; a local one where none is set and all tasks run in one process."""
+    base = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not t.spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.gettempdir()
+    path = f"{base.rstrip('/')}/spillway-query-{name}-{uuid.uuid4().hex}"
+    _made.append((t.spark, path))
+    return path
+
+
+_made: list = []
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _made:
+        try:
+            fs.delete(spark, path)
+        except Exception:  # noqa: BLE001  the session may be gone
+            return
 
 
 # -- sinks -------------------------------------------------------------------------------------------------------------
@@ -92,8 +114,8 @@ UNION ALL SELECT o_orderkey + 1000000, o_custkey, 2.0 FROM orders WHERE o_orderk
 def upsert_pk(t):
     old, new = _changes(t)
     table = VersionedTable(t.spark, scratch(t, "upsert"))
-    first = table.overwrite(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"))
-    W.publish(table, W.upsert(table.read(), old.unionByName(new), ["o_orderkey"]), first.id)
+    table.overwrite(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"))
+    W.merge_into(table, old.unionByName(new), ["o_orderkey"])
     return table.read()
 
 
@@ -122,6 +144,43 @@ def upsert_cardinality(t):
     return many.agg(F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("keys"))
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey <= 20 THEN -1.0 ELSE o_totalprice END AS o_totalprice FROM orders UNION ALL SELECT -5, 3.0")
+def upsert_touched_files(t):
+    """Only files that hold a key are written anew: of eight ranges of keys, one."""
+    table = VersionedTable(t.spark, scratch(t, "ranges"))
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    first = table.overwrite(rows.repartitionByRange(8, "o_orderkey"))
+    few = rows.filter("o_orderkey <= 20").withColumn("o_totalprice", F.lit(-1.0)).unionByName(t.spark.createDataFrame([(-5, 3.0)], rows.schema))
+    done = W.merge_into(table, few, ["o_orderkey"])
+    if len(done.removed) >= len(table.files(first.id)):
+        raise AssertionError("every file was written anew")
+    return table.read()
+
+
+@query("SELECT * FROM (SELECT 'updated' AS step, count(*) AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'refused', 0 UNION ALL SELECT 'deleted', count(*) FROM orders WHERE o_orderkey % 5 = 0 UNION ALL SELECT 'left', count(*) FROM orders WHERE o_orderkey % 5 <> 0)")
+def affected_rows(t):
+    table = VersionedTable(t.spark, scratch(t, "affected"))
+    table.overwrite(t.orders.select("o_orderkey", "o_orderstatus"))
+    steps = [("updated", W.update_rows(table, c("o_orderstatus") == "F", {"o_orderstatus": F.lit("X")}))]
+    try:
+        steps.append(("refused", W.update_rows(table, c("o_orderstatus") == "F", {"o_orderstatus": F.lit("Y")}, expected=1)))
+    except W.AffectedRowsError:
+        steps.append(("refused", 0))
+    steps.append(("deleted", W.delete_rows(table, c("o_orderkey") % 5 == 0)))
+    return t.spark.createDataFrame([*steps, ("left", table.read().count())], "step string, n bigint")
+
+
+@query("SELECT p_partkey, CAST(p_size AS BIGINT) AS part_size, CAST(NULL AS VARCHAR) AS note FROM part")
+def ddl_alter(t):
+    from pyspark.sql import types as T
+
+    table = VersionedTable(t.spark, scratch(t, "alter"))
+    table.overwrite(t.part.select("p_partkey", "p_size", "p_brand"))
+    W.alter(table, add={"note": T.StringType()}, drop=["p_brand"])
+    W.alter(table, rename={"p_size": "part_size"}, cast={"p_size": T.LongType()})
+    return table.read()
+
+
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1")
 def upsert_dedupe(t):
     return W.last_wins(t.orders.select("o_custkey", "o_totalprice", "o_orderkey", c("o_orderkey").alias("at")), ["o_custkey"], "at").select("o_custkey", "o_orderkey", "o_totalprice")
@@ -207,6 +266,74 @@ def snapshot_maintenance(t):
     return t.spark.createDataFrame(steps, "step string, n int")
 
 
+def _lake(t):
+    """Two tables, changed at the times 1000 to 3000."""
+    lake = Catalog(t.spark, scratch(t, "lake"))
+    nation, region = lake.table("nation"), lake.table("region")
+    nation.overwrite(t.nation.select("n_nationkey", "n_name", "n_regionkey"), at=1000.0)
+    region.overwrite(t.region, at=1000.0)
+    nation.overwrite(t.nation.filter("n_nationkey < 5").select("n_nationkey", "n_name", "n_regionkey"), at=2000.0)
+    region.append(t.region.withColumn("r_regionkey", c("r_regionkey") + 10), at=3000.0)
+    return lake
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 5")
+def catalog_time_travel(t):
+    """Every table of the catalog at one time."""
+    then = Catalog(t.spark, _lake(t).path, as_of=2500.0)
+    return then.read("nation").join(then.read("region"), c("n_regionkey") == c("r_regionkey")).select("n_name", "r_name")
+
+
+@query("SELECT n_name FROM nation WHERE n_nationkey >= 5")
+def catalogs_attached(t):
+    """What an older catalog has and the present one has not."""
+    lake = _lake(t)
+    both = Catalogs(now=lake)
+    both.attach("before", Catalog(t.spark, lake.path, as_of=1500.0))
+    return both.sql("SELECT n_name FROM {old} EXCEPT SELECT n_name FROM {new}", old="before.nation", new="nation")
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def scan_search_path(t):
+    """A relative path, below the folder that the session names."""
+    folder = scratch(t, "search")
+    t.nation.select("n_nationkey", "n_name").write.parquet(f"{folder}/sub/nation")
+    before = t.spark.conf.get("spark.spillway.search.path", None)
+    configure(t.spark, search_path=folder)
+    try:
+        return files.scan_parquet(t.spark, "sub/nation")
+    finally:
+        t.spark.conf.set("spark.spillway.search.path", before) if before else t.spark.conf.unset("spark.spillway.search.path")
+
+
+@query("SELECT * FROM (VALUES ('memory', '64m'), ('threads', '17'), ('search', 'x')) v(setting, value)")
+def settings(t):
+    own = t.spark.newSession()  # settings of its own, so that the caller's stay
+    made = configure(own, memory="64m", threads=17, search_path="x")
+    names = {"spark.sql.autoBroadcastJoinThreshold": "memory", "spark.sql.shuffle.partitions": "threads", "spark.spillway.search.path": "search"}
+    return t.spark.createDataFrame([(names[k], own.conf.get(k)) for k in made], "setting string, value string")
+
+
+@query("""SELECT * FROM (VALUES ('INT8', 'ScalarProperty', 'bigint'), ('DECIMAL(10,2)', 'ScalarProperty', 'decimal(10,2)'), ('INTEGER[]', 'ScalarProperty', 'array<int>'),
+('INTEGER[3]', 'RawReaderOnly', 'array<int>'), ('STRUCT(a INTEGER, b VARCHAR)', 'ComplexProperty', 'struct<a:int,b:string>'), ('MAP(VARCHAR, INTEGER)', 'RawReaderOnly', 'map<string,int>'),
+('HUGEINT', 'RawReaderOnly', 'decimal(38,0)'), ('TIMESTAMPTZ', 'ScalarProperty', 'timestamp'), ('NOSUCH', 'Unsupported', NULL)) v(name, kind, spark)""")
+def store_types(t):
+    names = ["INT8", "DECIMAL(10,2)", "INTEGER[]", "INTEGER[3]", "STRUCT(a INTEGER, b VARCHAR)", "MAP(VARCHAR, INTEGER)", "HUGEINT", "TIMESTAMPTZ", "NOSUCH"]
+    found = [(x.name, x.kind, x.spark.simpleString() if x.spark else None) for x in map(inspect, names)]
+    return t.spark.createDataFrame(found, "name string, kind string, spark string")
+
+
+@query("SELECT 'kept' AS what, CAST(1 AS INT) AS n UNION ALL SELECT 'orphan', 1 UNION ALL SELECT 'orphans left', 0")
+def snapshot_orphans(t):
+    """Files that a failed commit left behind are found and removed; files of snapshots stay."""
+    table = VersionedTable(t.spark, scratch(t, "orphans"))
+    table.overwrite(t.nation.coalesce(1))
+    table.write_files(t.region.coalesce(1))
+    found = table.delete_orphaned_files(dry_run=False)
+    rows = [("kept", len(table.files(1))), ("orphan", len(found)), ("orphans left", len(table.delete_orphaned_files()))]
+    return t.spark.createDataFrame(rows, "what string, n int")
+
+
 # -- tiers -------------------------------------------------------------------------------------------------------------
 CUT = dt.datetime(1998, 1, 1)
 
@@ -365,8 +492,9 @@ def tier_compact_rewrite(t):
     return by_year.cold().select("o_orderkey", "o_orderdate")
 
 
-@query("SELECT * FROM (VALUES ('active', 1), ('superseded', 2), ('cleaned', 2), ('after recovery', 1)) v(what, n)")
+@query("SELECT * FROM (VALUES ('active', 1), ('superseded', 2), ('cleaned', 1), ('after recovery', 2)) v(what, n)")
 def tier_inventory(t):
+    # The second run carries the first one's files over, so after recovery both generations are in force and only the compacted one goes.
     store, tables = _archived(t, twice=True)
     captured = store.checkpoint()
     store.compact()
@@ -385,6 +513,88 @@ def tier_detached(t):
     return store.detached("lines", store.delete_hot(tables) | {"lines": lost}).select(c("l_orderkey").cast("int").alias("l_orderkey"))
 
 
+@query(f"SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m FROM ({_ORD}) WHERE o_orderdate < TIMESTAMP '1998-01-01' AND o_orderdate >= TIMESTAMP '1997-01-01'")
+def tier_default_partitions(t):
+    """A store without a plan of its own is partitioned by year and month."""
+    store = TieredStore(t.spark, Store(Node("orders", ("o_orderkey",)), "o_orderdate", scratch(t, "tier")))
+    store.archive({"orders": _tables(t)["orders"]}, dt.datetime(1998, 1, 20))
+    cold = store.cold(hidden=True).filter((c("tier_year") >= F.lit("1997-01-01").cast("date")))
+    return cold.select("o_orderkey", F.year("tier_year").alias("y"), F.month("tier_month").alias("m"))
+
+
+@query("SELECT * FROM (VALUES ('files of the first run still in force', 1), ('files written twice', 0)) v(what, n)")
+def tier_carry_over(t):
+    store, tables = _store(t), _tables(t)
+    first = store.archive(tables, dt.datetime(1996, 7, 15)).files["orders"]
+    second = store.archive(tables, dt.datetime(1998, 1, 20)).files["orders"]
+    rows = [("files of the first run still in force", int(set(first) <= set(second))), ("files written twice", len(second) - len(set(second)))]
+    return t.spark.createDataFrame(rows, "what string, n int")
+
+
+@query(f"SELECT o_orderkey FROM ({_ORD}) WHERE o_orderkey % 11 = 0 AND o_orderdate < TIMESTAMP '1998-01-01' AND o_orderkey > 500 ORDER BY o_orderkey LIMIT 25")
+def tier_conflict_page(t):
+    store, tables = _archived(t)
+    hot = _corrected(tables)
+    streamed = sum(1 for _ in store.conflict_stream(hot))
+    if streamed != store.conflict_count(hot):
+        raise AssertionError("stream and count differ")
+    return store.conflict_page(hot, after=[500], take=25)
+
+
+@query(f"SELECT l_orderkey, CASE WHEN l_orderkey % 11 = 0 THEN 1 ELSE n END AS n FROM ({_PER}) JOIN ({_ORD}) ON l_orderkey = o_orderkey WHERE o_orderdate < TIMESTAMP '1998-01-01' AND o_orderkey % 17 <> 0")
+def tier_reconcile_children(t):
+    """Descendants follow the roots that win: one line each in the place of the old ones."""
+    store, tables = _archived(t)
+    hot = _corrected(tables).filter("o_orderkey % 11 = 0")
+    lines = tables["lines"].filter("l_orderkey % 11 = 0").select("l_orderkey", F.lit("new").alias("l_key"), F.lit(1.0).alias("l_quantity")).distinct()
+    store.reconcile({"orders": hot, "lines": lines}, tombstones=tables["orders"].filter("o_orderkey % 17 = 0"))
+    return store.cold("lines").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT 'orders' AS name, count(*) AS n FROM ({_ORD}) WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL OR o_custkey < 300 UNION ALL SELECT 'lines', count(*) FROM ({_LINES}) JOIN ({_ORD}) ON l_orderkey = o_orderkey WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL OR o_custkey < 300")
+def tier_restore_children(t):
+    store, tables = _archived(t)
+    back = store.restore(store.delete_hot(tables), c("o_custkey") < 300)
+    return t.spark.createDataFrame([(n, df.count()) for n, df in back.items()], "name string, n bigint")
+
+
+@query(f"SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, CAST(NULL AS VARCHAR) AS note FROM ({_ORD}) WHERE o_orderdate < TIMESTAMP '1998-01-01'")
+def tier_contract_columns(t):
+    """A rewrite to other columns: one added, one dropped, one of another type."""
+    store, tables = _archived(t)
+    wanted = tables["orders"].drop("o_custkey").withColumns({"o_totalprice": c("o_totalprice").cast("decimal(18,2)"), "note": F.lit(None).cast("string")})
+    plan = store.contract({"orders": wanted})
+    if plan["columns"]["orders"] != {"added": ["note"], "dropped": ["o_custkey"], "retyped": ["o_totalprice"]}:
+        raise AssertionError(plan)
+    store.rewrite_contract({"orders": wanted})
+    return store.cold().select("o_orderkey", "o_totalprice", "note")
+
+
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 AND o_orderstatus = 'F' THEN -1.0 ELSE o_totalprice END AS o_totalprice FROM ({_ORD}) WHERE o_orderdate < TIMESTAMP '1998-01-01'")
+def tier_scope(t):
+    """Corrections within a leading partition value only."""
+    store, tables = _archived(t, by_status=True)
+    hot = _corrected(tables).filter("o_orderkey % 11 = 0")
+    store.reconcile(hot, scope=store.scope(prefix=["F"]))
+    return store.cold().select("o_orderkey", "o_totalprice")
+
+
+@query(f"SELECT * FROM (SELECT 'seen' AS what, count(*) AS n FROM ({_LINES}) UNION ALL SELECT 'ambiguous', 0)")
+def tier_shared_child(t):
+    """Lines whose orders are in two stores, of odd and of even keys."""
+    tables = _tables(t)
+    stores, frames = [], {"lines": tables["lines"]}
+    for name, rest in (("odd", 1), ("even", 0)):
+        child = Node("lines", ("l_orderkey", "l_key"), name, (("l_orderkey", "o_orderkey"),))
+        store = TieredStore(t.spark, Store(Node(name, ("o_orderkey",)), "o_orderdate", scratch(t, "tier"), "month", (Partition("o_orderdate", "month", "order_month"),), (child,)))
+        frames[name] = tables["orders"].filter(c("o_orderkey") % 2 == rest)
+        bound = frames["lines"].filter(c("l_orderkey") % 2 == rest)
+        store.archive({name: frames[name], "lines": bound}, dt.datetime(1998, 1, 20))
+        stores.append(store)
+    shared = SharedChild(stores, "lines")
+    return t.spark.createDataFrame([("seen", shared.view(frames).count()), ("ambiguous", shared.ambiguous(frames).count())], "what string, n bigint")
+
+
 @query("SELECT p_partkey, '' || p_name AS label FROM part WHERE p_size > 40")
 def cached_query(t):
     return t.part.filter("p_size > 40").select("p_partkey", S.to_text(c("p_name")).alias("label"))

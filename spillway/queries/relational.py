@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spillway.functions import aggregates as G
 from spillway.functions import temporal as D
 from spillway.operators import relational as O
-from spillway.plans.command import capture
+from spillway.operators.joins import asof_join, range_join
+from spillway.operators.relational import Filters, of_type, per_concrete_type, per_type
+from spillway.plans.command import capture, tagged, tags
 from spillway.queries.registry import query, select
 from spillway.sources import dynamic, files
 
@@ -17,6 +21,16 @@ def c(name):
     return F.col(name)
 
 
+@contextmanager
+def view(df, name):
+    """A temporary view for as long as SQL over it is analysed; the frames that come of it do not need it any more."""
+    df.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+
+
 def money(x):
     return F.round(x, 2)
 
@@ -29,8 +43,8 @@ def scan_parquet(t):
 
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2")
 def scan_table(t):
-    t.nation.createOrReplaceTempView("spillway_nation")
-    return t.spark.table("spillway_nation").filter("n_regionkey = 2").select("n_nationkey", "n_name")
+    with view(t.nation, "spillway_nation"):
+        return t.spark.table("spillway_nation").filter("n_regionkey = 2").select("n_nationkey", "n_name")
 
 
 @query("SELECT * FROM (VALUES (1, 'one'), (2, 'two'), (3, NULL)) v(id, name)")
@@ -55,8 +69,8 @@ def raw_sql_composed(t):
 
 @query("SELECT n_name, n_regionkey + 1 AS next FROM nation WHERE n_name LIKE 'NATION_1%'")
 def dynamic_sql(t):
-    t.nation.createOrReplaceTempView("spillway_dynamic")
-    return dynamic.query(t.spark, "SELECT n_name, n_regionkey + 1 AS next FROM spillway_dynamic WHERE n_name LIKE :p", {"p": "NATION_1%"}).frame()
+    with view(t.nation, "spillway_dynamic"):
+        return dynamic.query(t.spark, "SELECT n_name, n_regionkey + 1 AS next FROM spillway_dynamic WHERE n_name LIKE :p", {"p": "NATION_1%"}).frame()
 
 
 # -- projections and filters -------------------------------------------------------------------------------------------
@@ -119,8 +133,8 @@ def inheritance_of_type(t):
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 100000")
 def global_filter(t):
-    t.orders.filter("o_orderstatus <> 'P'").createOrReplaceTempView("spillway_live_orders")
-    return t.spark.table("spillway_live_orders").filter("o_totalprice > 100000").select("o_orderkey")
+    with view(t.orders.filter("o_orderstatus <> 'P'"), "spillway_live_orders"):
+        return t.spark.table("spillway_live_orders").filter("o_totalprice > 100000").select("o_orderkey")
 
 
 # -- joins -------------------------------------------------------------------------------------------------------------
@@ -474,26 +488,26 @@ def union_by_name(t):
 # -- introspection and beyond ------------------------------------------------------------------------------------------
 @query("SELECT CAST(count(*) AS INT) AS value FROM orders WHERE o_totalprice > 100000")
 def plan_count(t):
-    t.orders.createOrReplaceTempView("spillway_orders")
-    return capture("SELECT * FROM spillway_orders WHERE o_totalprice > :p", "count", p=100000).frame(t.spark)
+    with view(t.orders, "spillway_orders"):
+        return capture("SELECT * FROM spillway_orders WHERE o_totalprice > :p", "count", p=100000).frame(t.spark)
 
 
 @query("SELECT count(*) > 0 AS value FROM orders WHERE o_totalprice > 100000")
 def plan_any(t):
-    t.orders.createOrReplaceTempView("spillway_orders")
-    return capture("SELECT * FROM spillway_orders WHERE o_totalprice > :p", "any", p=100000).frame(t.spark)
+    with view(t.orders, "spillway_orders"):
+        return capture("SELECT * FROM spillway_orders WHERE o_totalprice > :p", "any", p=100000).frame(t.spark)
 
 
 @query("SELECT round(avg(o_totalprice), 6) AS value FROM orders WHERE o_totalprice < 0")
 def plan_average_of_none(t):
-    t.orders.createOrReplaceTempView("spillway_orders")
-    return capture("SELECT * FROM spillway_orders WHERE o_totalprice < :p", "average", "o_totalprice", p=0).frame(t.spark).select(F.round("value", 6).alias("value"))
+    with view(t.orders, "spillway_orders"):
+        return capture("SELECT * FROM spillway_orders WHERE o_totalprice < :p", "average", "o_totalprice", p=0).frame(t.spark).select(F.round("value", 6).alias("value"))
 
 
 @query("SELECT max(o_totalprice) AS value FROM orders")
 def plan_max(t):
-    t.orders.createOrReplaceTempView("spillway_orders")
-    return capture("SELECT * FROM spillway_orders", "max", "o_totalprice").frame(t.spark)
+    with view(t.orders, "spillway_orders"):
+        return capture("SELECT * FROM spillway_orders", "max", "o_totalprice").frame(t.spark)
 
 
 @query("SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)")
@@ -509,3 +523,68 @@ def stream_windows(t):
 
 
 
+
+
+# -- joins by order, models, grouping sets ------------------------------------------------------------------------------
+_VIEWS = "SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'view' GROUP BY 1, 2"
+
+
+@query(f"SELECT e.event_id, v.ts AS view_ts, v.event_id AS view_id FROM (SELECT * FROM events WHERE event_type = 'purchase') e ASOF LEFT JOIN ({_VIEWS}) v ON e.user_id = v.user_id AND e.ts >= v.ts")
+def join_asof(t):
+    """Each purchase with its user's last view before it; a user's events are dealt to days."""
+    buys = t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    views = t.events.filter("event_type = 'view'").groupBy("user_id", F.col("ts").alias("view_ts")).agg(F.max("event_id").alias("view_id"))
+    return asof_join(buys, views, ["user_id"], "ts", "view_ts", ["view_id"], bucket=F.col("__at").cast("date")).select("event_id", "view_ts", "view_id")
+
+
+@query("SELECT a.event_id, b.event_id AS error_id FROM events a JOIN events b ON a.event_type = 'click' AND b.event_type = 'error' AND a.ts >= b.ts AND a.ts < b.ts + INTERVAL '10 minutes'")
+def join_range(t):
+    """Clicks in the ten minutes after an error."""
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    clicks = t.events.filter("event_type = 'click'").select("event_id", seconds.alias("s"))
+    errors = t.events.filter("event_type = 'error'").select(F.col("event_id").alias("error_id"), seconds.alias("low"), (seconds + 600).alias("high"))
+    return range_join(clicks, errors, F.col("s"), F.col("low"), F.col("high"), 600.0).select("event_id", "error_id")
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(grouping(o_orderstatus) * 2 + grouping(o_orderpriority) AS BIGINT) AS level FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
+def group_rollup(t):
+    return t.orders.rollup("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))
+
+
+@query("SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY GROUPING SETS ((c_nationkey), (c_mktsegment), ())")
+def grouping_sets(t):
+    a, b = F.col("c_nationkey"), F.col("c_mktsegment")
+    return t.customer.groupingSets([[a], [b], []], a, b).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'customer' AS discriminator, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer UNION ALL SELECT 'supplier', s_name, s_acctbal, NULL FROM supplier")
+def inheritance_per_concrete_type(t):
+    customers = t.customer.select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
+    suppliers = t.supplier.select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
+    return per_concrete_type(customer=customers, supplier=suppliers)
+
+
+@query("SELECT p_partkey, p_name, CASE WHEN p_size > 40 THEN p_brand END AS brand, CASE WHEN p_size < 5 THEN p_retailprice END AS price, CASE WHEN p_size > 40 THEN 'large' ELSE 'small' END AS discriminator FROM part WHERE p_size > 40 OR p_size < 5")
+def inheritance_per_type(t):
+    large = t.part.filter("p_size > 40").select("p_partkey", F.col("p_brand").alias("brand"))
+    small = t.part.filter("p_size < 5").select("p_partkey", F.col("p_retailprice").alias("price"))
+    return of_type(per_type(t.part.select("p_partkey", "p_name"), "p_partkey", large=large, small=small), "large", "small")
+
+
+@query("SELECT 'all' AS how, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 1000 UNION ALL SELECT 'one ignored', count(*) FROM orders WHERE o_totalprice > 1000 UNION ALL SELECT 'none', count(*) FROM orders")
+def global_filters(t):
+    rules = Filters()
+    rules.add("orders", "open", F.col("o_orderstatus") != "P")
+    rules.add("orders", "large", F.col("o_totalprice") > 1000)
+    count = lambda how, ignore: rules.apply("orders", t.orders, ignore).agg(F.lit(how).alias("how"), F.count(F.lit(1)).alias("n"))
+    return count("all", ()).unionAll(count("one ignored", ["open"])).unionAll(count("none", True))
+
+
+@query("SELECT 'large parts' AS tag, count(*) AS n FROM part WHERE p_size > 40")
+def query_tags(t):
+    """Tags stand in front of the SQL and on the jobs that it runs."""
+    with view(t.part, "spillway_tagged_part"):
+        plan = capture(tagged("SELECT * FROM spillway_tagged_part WHERE p_size > 40", "large parts"), "long_count")
+        with tags(t.spark, "large parts"):
+            n, seen = plan.replay(t.spark), sorted(t.spark.getTags())
+        return t.spark.createDataFrame([(", ".join(x for x in seen if "large parts" in x and "-- large parts" in plan.sql), n)], "tag string, n bigint")
