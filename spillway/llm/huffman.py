@@ -2,7 +2,7 @@
 
 A file holds documents in ascending doc_id order:
 
-    magic, number of symbols, documents, blocks, first document's start (ids before it in all files), bytes of bits
+    magic, number of symbols, documents, blocks, ids per block at most, bytes of bits
     code lengths (one byte per symbol), doc_ids, ids per document, ids per block, bit offset of each block, bits
 
 All numbers are little-endian. Every document begins a block and a block holds at most BLOCK ids of one document, so
@@ -10,12 +10,15 @@ any block can be decoded from its bit offset alone. Codes come from the id count
 MAX_BITS long, so one table of 2**MAX_BITS entries decodes them.
 
 Steps: documents are tokenised once into a table of ids; counts are summed; each document is encoded where its ids
-lie; the encoded documents are dealt by ranges of doc_id, sorted, and each range is written as one file in the shared
-folder (under a temporary name first, so that a repeated task replaces its own file). The files are read back by
-Spark's binary file source.
+lie; the encoded documents are dealt by ranges of (doc_id, length, hash, a number drawn for the row), so that neither a
+doc_id nor a text that a third of the rows share meets in one task; each task writes its range, sorted, as files of
+about file_ids ids, of which it holds one at a time (under a temporary name first, so that a repeated task's file is
+whole). What was written is listed in a table beside the files, with the ids before each file. The files are read back
+by Spark's binary file source.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a doc_id are adjacent, ordered by content; a
-null doc_id sorts first and is stored as a flag; an empty table gives no files and an empty result.
+null doc_id sorts first and is stored as a flag; an empty table gives no files and an empty result; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spillway.llm.common import materialize, only, scratch_path
@@ -37,10 +41,12 @@ MAX_BITS = 18
 BLOCK = 4096
 #: Pieces that a worker keeps at most: about 200 MB.
 CACHE_PIECES = 1_000_000
-#: Documents' ids per file, about.
-FILE_IDS = 6_000_000
+#: Documents' ids per file, about, and tasks that write at most.
+FILE_IDS, MAX_TASKS = 2_000_000, 20_000
+#: Up to so many files the table of their starts is broadcast (under 20 MB); more are joined by a shuffle.
+BROADCAST_FILES = 200_000
 _HEAD, _HEAD_BYTES = "<8sqqqqq", 48
-_MAGIC = b"SPWHUFF1"
+_MAGIC = b"SPWHUFF2"
 _NULL = -(2**63)
 
 
@@ -130,17 +136,17 @@ def decode_blocks(bits: bytes, offsets: np.ndarray, n_ids: np.ndarray, ids: np.n
 
 
 def id_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, n_ids, ids): each document's ids with the end id, as little-endian numbers, 16 bits each if all fit."""
+    """(doc_id, n_ids, ids, salt): each document's ids with the end id, as little-endian numbers, 16 bits each if all fit, and a random number."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, CACHE_PIECES)
+        enc, rng = encoder(path, CACHE_PIECES), np.random.default_rng()
         wide = "<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for b in batches:
             ids = [np.frombuffer(enc.encode(t or "") + end, "<u4") for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(wide).tobytes() for x in ids], pa.binary())], names=["doc_id", "n_ids", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(wide).tobytes() for x in ids], pa.binary()), pa.array(rng.integers(0, 2**62, b.num_rows))], names=["doc_id", "n_ids", "ids", "salt"])
 
-    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_ids long, ids binary")
+    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_ids long, ids binary, salt long")
 
 
 def _numbers(data: bytes, n: int) -> np.ndarray:
@@ -168,100 +174,103 @@ def count_ids(table: DataFrame) -> np.ndarray:
 
 
 def _file_system(uri: str):
+    """A folder's file system and its path there, as Python workers reach it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
+    scheme, found, rest = uri.partition(":")
+    if not found or uri.startswith("/"):
+        return fs.FileSystem.from_uri("file://" + uri)
+    if scheme == "file":
+        return fs.FileSystem.from_uri("file:///" + rest.lstrip("/"))
+    return fs.FileSystem.from_uri(("s3" if scheme in ("s3a", "s3n") else scheme) + ":" + rest)
+
+
+_WRITTEN = "file string, task int, seq int, docs long, ids long"
 
 
 def write_files(docs: DataFrame, path: str, out: str, end_id: int = 0, file_ids: int = FILE_IDS, block: int = BLOCK) -> DataFrame:
-    """Writes the files into the folder out (shared by all executors) and returns (file, docs) as written."""
+    """Writes the files into the folder out (shared by all executors) and returns (file, docs, ids, start) as written: start counts the ids in all files before."""
     spark = docs.sparkSession
     table = materialize(id_table(docs, path, end_id), "token-ids")
     counts = count_ids(table)
     lengths = code_lengths(counts)
-    codes = canonical(lengths)
     total = int(counts.sum())
-    files = max(1, -(-total // file_ids))
-    # Bounds by rank among doc_ids; whatever they are, equal doc_ids share a file and files are in order.
-    bounds = sorted(set(table.approxQuantile("doc_id", [i / files for i in range(1, files)], 0.1 / files))) if files > 1 else []
-    sent_bounds = spark.sparkContext.broadcast(np.array(bounds, np.int64))
-
-    def file_of(ids: pa.Array) -> np.ndarray:
-        return np.searchsorted(sent_bounds.value, ids.fill_null(_NULL).to_numpy(), "left").astype(np.int32)
-
-    def size_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            per = np.bincount(file_of(b.column("doc_id")), weights=b.column("n_ids").to_numpy())
-            at = np.flatnonzero(per)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(per[at].astype(np.int64))], names=["file", "n"])
-
-    sums = {r["file"]: r["n"] for r in table.select("doc_id", "n_ids").mapInArrow(size_up, "file int, n long").groupBy("file").agg(F.sum("n").alias("n")).collect()}
-    starts, run = {}, 0
-    for f in range(len(bounds) + 1):
-        starts[f] = run
-        run += sums.get(f, 0)
-    sent = spark.sparkContext.broadcast((lengths, codes, starts))
+    sent = spark.sparkContext.broadcast((lengths, canonical(lengths)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, code, _ = sent.value
+        size, code = sent.value
         for b in batches:
-            bits, offsets, crc = [], [], []
+            bits, offsets = [], []
             for n, data in zip(b.column("n_ids").to_pylist(), b.column("ids").to_pylist(), strict=True):
                 done, blocks = encode_bits(_numbers(data, n), size, code, block)
                 bits.append(done)
                 offsets.append(blocks.astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(file_of(b.column("doc_id"))), b.column("doc_id"), b.column("n_ids"), pa.array(bits, pa.binary()), pa.array(offsets, pa.binary())], names=["file", "doc_id", "n_ids", "bits", "offsets"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_ids"), pa.array(bits, pa.binary()), pa.array(offsets, pa.binary()), b.column("salt")], names=["doc_id", "n_ids", "bits", "offsets", "salt"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, _, start = sent.value
+        size, _ = sent.value
+        task = TaskContext.get().partitionId()
+        system, folder = _file_system(out)
         held: list = []
-        done: list[tuple[str, int]] = []
+        done: list[tuple] = []
 
         def close() -> None:
-            file = held[0][0]
-            doc_ids = np.array([_NULL if r[1] is None else r[1] for r in held], "<i8")
-            n_ids = np.array([r[2] for r in held], "<i8")
-            sizes = np.array([len(r[3]) for r in held], np.int64)
+            doc_ids = np.array([_NULL if r[0] is None else r[0] for r in held], "<i8")
+            n_ids = np.array([r[1] for r in held], "<i8")
+            sizes = np.array([len(r[2]) for r in held], np.int64)
             base = (np.cumsum(sizes) - sizes) * 8
-            offsets = np.concatenate([np.frombuffer(r[4], "<i8") + o for r, o in zip(held, base, strict=True)])
+            offsets = np.concatenate([np.frombuffer(r[3], "<i8") + o for r, o in zip(held, base, strict=True)])
             per = np.concatenate([np.r_[np.full((n - 1) // block, block), (n - 1) % block + 1] for n in n_ids]).astype("<i4")
-            system, folder = _file_system(out)
-            name = f"{folder}/ids-{file:06d}.huf"
-            temp = f"{name}.{os.getpid()}-{os.urandom(4).hex()}"
-            with system.open_output_stream(temp) as f:
-                f.write(struct.pack(_HEAD, _MAGIC, len(size), len(held), len(per), start[file], int(sizes.sum())))
+            # A task that is repeated or runs twice writes files of names of its own; the table lists those that count.
+            name = f"ids-{task:06d}-{len(done):04d}-{os.urandom(4).hex()}.huf"
+            with system.open_output_stream(f"{folder}/_{name}") as f:
+                f.write(struct.pack(_HEAD, _MAGIC, len(size), len(held), len(per), block, int(sizes.sum())))
                 for part in (size.tobytes(), doc_ids.tobytes(), n_ids.tobytes(), per.tobytes(), offsets.astype("<i8").tobytes()):
                     f.write(part)
                 for r in held:
-                    f.write(r[3])
-            system.move(temp, name)
-            done.append((name, len(held)))
+                    f.write(r[2])
+            system.move(f"{folder}/_{name}", f"{folder}/{name}")
+            done.append((name, task, len(done), len(held), int(n_ids.sum())))
             held.clear()
 
+        inside = 0
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("file", "doc_id", "n_ids", "bits", "offsets")), strict=True):
-                if held and held[0][0] != row[0]:
+            for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n_ids", "bits", "offsets")), strict=True):
+                if held and inside + row[1] > file_ids:
                     close()
+                    inside = 0
                 held.append(row)
+                inside += row[1]
         if held:
             close()
-        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())], names=["file", "docs"])
+        yield pa.RecordBatch.from_pylist([dict(zip(("file", "task", "seq", "docs", "ids"), d, strict=True)) for d in done], schema=pa.schema([("file", pa.string()), ("task", pa.int32()), ("seq", pa.int32()), ("docs", pa.int64()), ("ids", pa.int64())]))
 
     system, folder = _file_system(out)
     system.create_dir(folder, recursive=True)
-    coded = table.mapInArrow(encode, "file int, doc_id long, n_ids long, bits binary, offsets binary")
-    ordered = coded.repartition(len(bounds) + 1, "file").sortWithinPartitions("file", "doc_id", "n_ids", "bits")
-    return materialize(ordered.mapInArrow(write, "file string, docs long"), "token-files")
+    tasks = int(min(max(1, -(-total // file_ids)), MAX_TASKS))
+    coded = table.mapInArrow(encode, "doc_id long, n_ids long, bits binary, offsets binary, salt long").withColumn("hash", F.xxhash64("bits"))
+    order = [F.col("doc_id").asc_nulls_first(), "n_ids", "hash", "salt"]
+    ordered = coded.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    written = materialize(ordered.drop("hash", "salt").mapInArrow(write, _WRITTEN), "token-files")
+    # One small row per file, in one ordered sum.
+    before = Window.orderBy("task", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    written.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0))).coalesce(1).write.parquet(f"{out}/_starts")
+    return starts(spark, out)
+
+
+def starts(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, docs, ids, start) of the files of a folder that count."""
+    return spark.read.schema("file string, docs long, ids long, start long").parquet(f"{folder}/_starts")
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): the documents of a folder of such files; ids are little-endian unsigned 32-bit numbers."""
+    """(doc_id, start, n_tokens, ids, ids_crc32): the documents of a folder of such files; ids are little-endian unsigned 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for data in b.column("content"):
+            for path, data in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
                 view = data.as_buffer()
-                magic, symbols, n_docs, n_blocks, start, n_bits = struct.unpack_from(_HEAD, view, 0)
+                magic, symbols, n_docs, n_blocks, block, n_bits = struct.unpack_from(_HEAD, view, 0)
                 if magic != _MAGIC:
                     raise ValueError("not a token-id file")
                 at, parts = _HEAD_BYTES, []
@@ -270,8 +279,8 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                     at += parts[-1].nbytes
                 lengths, doc_ids, n_ids, per, offsets = parts
                 table = decode_table(lengths, canonical(lengths))
-                blocks = np.r_[0, np.cumsum(-(-n_ids // BLOCK))] if n_docs else np.zeros(1, np.int64)
-                starts = start + np.cumsum(n_ids) - n_ids
+                blocks = np.r_[0, np.cumsum(-(-n_ids // block))] if n_docs else np.zeros(1, np.int64)
+                inside = np.cumsum(n_ids) - n_ids
                 step = 2000
                 for lo in range(0, n_docs, step):
                     hi = min(n_docs, lo + step)
@@ -280,20 +289,25 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                     end = int(offsets[last]) // 8 if last < n_blocks else n_bits
                     ids = decode_blocks(bytes(view[at + begin : at + end]), offsets[first:last] - 8 * begin, per[first:last].astype(np.int64), *table)
                     cuts = np.r_[0, np.cumsum(n_ids[lo:hi])]
-                    raw = ids.astype("<u4")
+                    raw = [ids[i:j].astype("<u4").tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [
+                            pa.array([path.rsplit("/", 1)[-1]] * (hi - lo), pa.string()),
                             pa.array(doc_ids[lo:hi], pa.int64(), mask=doc_ids[lo:hi] == _NULL),
-                            pa.array(starts[lo:hi], pa.int64()),
+                            pa.array(inside[lo:hi], pa.int64()),
                             pa.array(n_ids[lo:hi], pa.int64()),
-                            pa.array([raw[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                            pa.array([zlib.crc32(raw[i:j].tobytes()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.int64()),
+                            pa.array(raw, pa.binary()),
+                            pa.array([zlib.crc32(x) for x in raw], pa.int64()),
                         ],
-                        names=["doc_id", "start", "n_tokens", "ids", "ids_crc32"],
+                        names=["file", "doc_id", "inside", "n_tokens", "ids", "ids_crc32"],
                     )
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.huf").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
-    return files.select("content").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
+    found = files.select("path", "content").mapInArrow(run, "file string, doc_id long, inside long, n_tokens long, ids binary, ids_crc32 long")
+    known = starts(spark, folder).select(F.col("file").alias("known"), F.col("start").alias("base"))
+    few = known.count() <= BROADCAST_FILES
+    joined = found.join(F.broadcast(known) if few else known, F.col("file") == F.col("known"))
+    return joined.select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids", "ids_crc32")
 
 
 def encode_corpus(docs: DataFrame, path: str, end_id: int = 0, file_ids: int = FILE_IDS) -> DataFrame:

@@ -5,7 +5,7 @@ by length, and the packing is decided on that histogram, which has at most `capa
 exact-complement step fills the gap beside a length with single, pair and triple sums under the counts that are left,
 by an index of these sums that follows the counts; then the rest is packed best-fit, longest first. Pieces then look up their places by their rank within their length.
 
-Ranks are counted in cells: a length has one for every `cell_rows` of its pieces, so a length that very many pieces share
+Ranks are counted in cells: a length has one for about every `cell_rows` of its pieces, so a length that very many pieces share
 is ranked by many tasks. Which cell a row is in was drawn when its ids were made, so that neither rows that repeat a
 doc_id nor copies meet in one.
 
@@ -28,8 +28,8 @@ from spillway.llm.common import materialize, only
 from spillway.llm.tokens import encoder
 
 CAPACITY = 2048
-#: Pieces of a cell, about.
-CELL_ROWS = 50_000
+#: Pieces of a cell, about, until there are CELLS of them; beyond, cells grow.
+CELL_ROWS, CELLS = 1_000, 1 << 17
 
 
 class SumIndex:
@@ -211,11 +211,11 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
         "ids_crc32",
         "salt",
     )
-    # At most capacity rows, then capacity more than there are cells: a row for every cell_rows pieces of the corpus.
+    # At most capacity rows, then capacity + CELLS, whatever the corpus.
     counted = pieces.groupBy("length").count().toArrow()
     counts = np.zeros(capacity + 1, np.int64)
     counts[counted["length"].to_numpy()] = counted["count"].to_numpy()
-    cells = np.maximum(1, -(-counts // cell_rows))
+    cells = np.maximum(1, -(-counts // max(cell_rows, int(counts.sum()) // CELLS)))
     cell = F.pmod(F.col("salt") + F.col("piece"), F.element_at(F.array(*[F.lit(int(x)) for x in cells]), F.col("length").cast("int") + 1))
     celled = pieces.withColumn("cell", cell.cast("int")) if cells.max() > 1 else pieces.withColumn("cell", F.lit(0))
     held = celled.groupBy("length", "cell").count().toArrow() if cells.max() > 1 else pa.table({"length": counted["length"], "cell": np.zeros(len(counted), np.int32), "count": counted["count"]})

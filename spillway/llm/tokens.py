@@ -45,7 +45,7 @@ class PieceEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.cut, self.lower = self._cutter(spec)
-        self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        self.special = [t["content"].lower() if self.lower else t["content"] for t in spec.get("added_tokens") or []]
         self.cache: dict[str, bytes] = {}
         self.most = cache_pieces
 
@@ -67,11 +67,10 @@ class PieceEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.cut is None or _BEYOND(text):
-            return self.whole(text)
-        # Lower case may lead out of the plain range, and into a special token's string.
+        # Lower case may lead out of the plain range, and into a special token's string. What it leads into the range (three
+        # signs whose lower case is a Latin letter) the library's normalisation makes the same letter.
         plain = text.lower() if self.lower else text
-        if (self.lower and _BEYOND(plain)) or any(s in text or s in plain for s in self.special):
+        if self.cut is None or _BEYOND(plain) or any(s in plain for s in self.special):
             return self.whole(text)
         pieces = self.cut(plain)
         cache = self.cache
