@@ -10,11 +10,14 @@ a node is named by the first half of the set's 128-bit fingerprint, whatever the
    passages fall out here; lists are never cut.
 2. Each list is named after one member, its hub (the member whose values are the most common, which in a family of
    copies is about its origin). Lists of one hub are one group, so a family's many lists are worked on once.
-3. Groups are cut into blocks by a hash of the document; every pair of blocks is a task of bounded size. Union-sketch
-   estimation keeps the documents that have a likely partner there.
-4. Exact Jaccard on the full sets of those verifies, again by pairs of blocks. Of the links within such a task a
-   spanning forest is kept, so rows stay in proportion to documents.
-5. Components of the links, by alternating large and small stars over tables.
+3. Members of a group larger than a block are held against its hub first, on full sets. Those that link to it are
+   settled: among themselves they need not be compared. That is linear in the family, however many its members.
+4. The others meet in blocks: a small group is one block; of a large one, each block of members that are not settled
+   meets each block of members, as a task of bounded size. Union-sketch estimation keeps the documents that have a
+   likely partner there.
+5. Exact Jaccard on the full sets of those verifies, again by blocks. Of the links within such a task a spanning forest
+   is kept, so rows stay in proportion to documents.
+6. Components of the links, by alternating large and small stars over tables.
 
 The chance to miss a link of similarity 0.75 is that of 64 trials at 0.75 giving under 32, about 3e-6, and falls
 steeply above. Links are exact: they are confirmed on full sets (of 63-bit hashes).
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -128,9 +131,10 @@ def _table(t: pa.Table, values: str) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return t["x"].to_numpy(), t["block"].to_numpy(), sizes, lists.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _across(block: np.ndarray) -> np.ndarray:
-    """Which pairs a task answers for: those across its two blocks, or all of its one block."""
-    return np.ones((len(block), len(block)), bool) if len(np.unique(block)) == 1 else block[:, None] != block[None, :]
+def _across(x: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Which pairs a task answers for: those across its two sides, or all of its one side; never a document and itself."""
+    sides = np.ones((len(block), len(block)), bool) if len(np.unique(block)) == 1 else block[:, None] != block[None, :]
+    return sides & (x[:, None] != x[None, :])
 
 
 def _likely(t: pa.Table, k: int) -> pa.Table:
@@ -144,17 +148,15 @@ def _likely(t: pa.Table, k: int) -> pa.Table:
     both = _common(flat, row, m)
     whole = (n[:, None] <= k) & (n[None, :] <= k)
     union = mine + theirs - both
-    good = np.where(whole, 100 * both >= 75 * union, 2 * both >= union) & (4 * np.minimum(n[:, None], n[None, :]) >= 3 * np.maximum(n[:, None], n[None, :])) & _across(block)
-    np.fill_diagonal(good, False)
+    good = np.where(whole, 100 * both >= 75 * union, 2 * both >= union) & (4 * np.minimum(n[:, None], n[None, :]) >= 3 * np.maximum(n[:, None], n[None, :])) & _across(x, block)
     keep = pa.array(good.any(1))
-    return t.select(["hub", "x", "n"]).filter(keep)
+    return t.select(["hub", "x", "n", "loose"]).filter(keep)
 
 
 def _links(t: pa.Table) -> pa.Table:
     x, block, sizes, flat, row = _table(t, "values")
     both = _common(flat, row, len(x)).astype(np.int64)
-    linked = (100 * both >= 75 * (sizes[:, None] + sizes[None, :] - both)) & _across(block)
-    np.fill_diagonal(linked, False)
+    linked = (100 * both >= 75 * (sizes[:, None] + sizes[None, :] - both)) & _across(x, block)
     a, b, seen = [], [], np.zeros(len(x), bool)
     for root in np.argsort(x, kind="stable"):
         if seen[root]:
@@ -171,19 +173,45 @@ def _links(t: pa.Table) -> pa.Table:
     return pa.table({"a": a[a != b], "b": b[a != b]})
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """members (hub, x, n, ...) of groups of two and more, copied to the pairs of blocks that they meet in: + block, i, j."""
-    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total")).filter("members > 1")
-    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES), F.lit(1)).cast("int")
-    blocks = F.least(blocks, F.ceil(F.col("members") / 2).cast("int"))
-    return (
-        members.join(sizes.select("hub", blocks.alias("blocks")), "hub")
-        .withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        # With several blocks the pair (i, i) holds block i alone.
-        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-        .drop("other", "blocks")
+def _held_against_hub(t: pa.Table) -> pa.Table:
+    """Which members of a cell link to the hub, whose set is in every cell."""
+    x, cell, sizes, flat, row = _table(t, "values")
+    at_hub = np.flatnonzero(x == t["hub"].to_numpy())[0]
+    end = int(np.cumsum(sizes)[at_hub])
+    hub = flat[end - sizes[at_hub] : end]
+    both = np.bincount(row, hub[np.minimum(np.searchsorted(hub, flat), len(hub) - 1)] == flat, len(x)).astype(np.int64)
+    linked = 100 * both >= 75 * (sizes + len(hub) - both)
+    keep = pa.array((np.arange(len(x)) != at_hub) | (cell == 0))
+    return t.select(["hub", "x", "n"]).append_column("loose", pa.array(~linked)).filter(keep)
+
+
+def _sizes(members: DataFrame) -> DataFrame:
+    """(hub, blocks, loose_blocks) of groups of two and more with a member that is not settled; one block is a whole group."""
+
+    def blocks(docs: str, total: str) -> Column:
+        return F.greatest(F.ceil(F.col(docs) / BLOCK_DOCS), F.ceil(F.col(total) / BLOCK_SHINGLES)).cast("int")
+
+    each = members.groupBy("hub").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"), F.sum(F.when(F.col("loose"), 1).otherwise(0)).alias("free"), F.sum(F.when(F.col("loose"), F.col("n")).otherwise(0)).alias("free_total")
     )
+    whole = F.least(blocks("members", "total"), F.ceil(F.col("members") / 2).cast("int"))
+    return each.filter("members > 1 AND free > 0").select("hub", whole.alias("blocks"), F.greatest(F.least(blocks("free", "free_total"), F.col("free").cast("int")), F.lit(1)).alias("loose_blocks"))
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """members (hub, x, n, loose, ...) copied to the tasks (hub, i, j) that they meet in, with the side that they are on there: block.
+
+    A group of one block is one task with one side. In larger ones task (i, j) holds block i of the members that are
+    not settled against block j of all members."""
+    sized = members.join(_sizes(members), "hub")
+    one = F.col("blocks") == 1
+    mine = F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int")
+    free = F.pmod(F.xxhash64("x", F.lit("loose")), F.col("loose_blocks")).cast("int")
+    place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("block"))
+    as_any = F.transform(F.sequence(F.lit(0), F.when(one, 0).otherwise(F.col("loose_blocks") - 1)), lambda i: place(i, F.when(one, 0).otherwise(mine), 1))
+    as_free = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: place(free, j, 0))
+    places = F.when(one | ~F.col("loose"), as_any).otherwise(F.concat(as_any, as_free))
+    return sized.withColumn("place", F.explode(places)).select(*members.columns, "place.i", "place.j", "place.block")
 
 
 def links(docs: DataFrame, sketches: DataFrame, firsts: DataFrame, k: int = K) -> DataFrame:
@@ -200,18 +228,31 @@ def links(docs: DataFrame, sketches: DataFrame, firsts: DataFrame, k: int = K) -
     )
     listed = materialize(ranked.filter(F.col("at") <= F.col("shared") - least + 1).select("x", "n", "v", "score"), "dup-lists")
     hubs = listed.groupBy("v").agg(F.max(F.struct("score", "x")).alias("top"), F.count(F.lit(1)).alias("n_docs")).filter("n_docs > 1").select("v", F.col("top.x").alias("hub"))
-    members = listed.join(hubs, "v").groupBy("hub", "x").agg(F.max("n").alias("n"))
-    first = _dealt(members).join(sketches.select("x", "sketch"), "x").select("hub", "i", "j", "x", "block", "n", "sketch")
-    likely = first.groupBy("hub", "i", "j").applyInArrow(lambda t: _likely(t, k), "hub long, x long, n long").distinct()
-    likely = materialize(likely, "dup-likely")
-    ids = materialize(likely.select("x").distinct().join(firsts, "x"), "dup-ids")
+    members = materialize(listed.join(hubs, "v").groupBy("hub", "x").agg(F.max("n").alias("n")).withColumn("loose", F.lit(True)), "dup-members")
     texts = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("first"), "text")
-    # Other texts under these ids come along; the join on nodes below leaves them out.
-    full = _sets(texts.filter("first IS NOT NULL").join(ids.select("first").distinct(), "first", "left_semi"))
-    unnamed = _sets(texts.filter("first IS NULL")).join(ids.filter("first IS NULL").select("x"), "x", "left_semi").dropDuplicates(["x"])
-    full = full.union(unnamed)
-    second = _dealt(likely).join(full, "x").select("hub", "i", "j", "x", "block", "values")
-    return second.groupBy("hub", "i", "j").applyInArrow(_links, "a long, b long")
+
+    def full_sets(nodes: DataFrame) -> DataFrame:
+        """(x, values) of nodes (x): other texts under their ids come along, a join on x leaves them out."""
+        ids = materialize(nodes.distinct().join(firsts, "x"), "dup-ids")
+        named = _sets(texts.filter("first IS NOT NULL").join(ids.select("first").distinct(), "first", "left_semi"))
+        unnamed = _sets(texts.filter("first IS NULL")).join(ids.filter("first IS NULL").select("x"), "x", "left_semi").dropDuplicates(["x"])
+        return named.union(unnamed)
+
+    large = materialize(_sizes(members).filter("blocks > 1").select("hub", "blocks"), "dup-large")
+    settled = None
+    if large.limit(1).count():
+        cells = F.when(F.col("x") == F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int")))
+        inside = materialize(members.join(large, "hub").select("hub", "x", "n", F.explode(cells).alias("block")), "dup-inside")
+        told = inside.join(full_sets(inside.select("x")), "x").select("hub", "x", "n", "block", "values")
+        told = materialize(told.groupBy("hub", "block").applyInArrow(_held_against_hub, "hub long, x long, n long, loose boolean"), "dup-held").distinct()
+        settled = told.filter("NOT loose AND x <> hub").select(F.col("x").alias("a"), F.col("hub").alias("b"))
+        members = members.join(large, "hub", "left_anti").unionByName(told)
+    first = _dealt(members).join(sketches.select("x", "sketch"), "x").select("hub", "i", "j", "x", "block", "n", "loose", "sketch")
+    likely = first.groupBy("hub", "i", "j").applyInArrow(lambda t: _likely(t, k), "hub long, x long, n long, loose boolean").distinct()
+    likely = materialize(likely, "dup-likely")
+    second = _dealt(likely).join(full_sets(likely.select("x")), "x").select("hub", "i", "j", "x", "block", "values")
+    found = second.groupBy("hub", "i", "j").applyInArrow(_links, "a long, b long")
+    return found if settled is None else found.union(settled)
 
 
 def components(edges: DataFrame) -> DataFrame:
