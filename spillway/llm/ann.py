@@ -6,13 +6,15 @@ inner product with their centre, and leaves are taken as they come out. How many
 for a bounded set of queries the true neighbours are found by brute force over all vectors, and the visits widen
 until the calibration queries' recall reaches the target. A query also goes on until its leaves hold enough candidates.
 
-Leaves are cut into blocks of vectors, so a leaf that holds a third of all rows is many tasks. Leaves are read in
-growing rounds; a query's k-th best so far is its bound, and only vectors that reach it come back. Scores are inner products in double
-precision of the original vectors, summed in one fixed order, so equal vectors tie exactly.
+Leaves are cut into blocks of vectors, so a leaf that holds a third of all rows is many tasks. Leaves are read in two
+rounds: a query's first ones, whose k-th best is its bound, and of its others those that can reach the bound. Every
+leaf keeps its radius, so its best possible inner product is that of its centre and the radius times the query's length
+(Cauchy and Schwarz); leaves that are left out for it could not have changed the result. Scores are inner products in
+double precision of the original vectors, summed in one fixed order, so equal vectors tie exactly.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite numbers take no
-part, nor do rows without vec_id; of rows that repeat a vec_id one takes part; with fewer than k other vectors all are
-returned; an empty table gives an empty result; extra columns are ignored.
+part, nor do rows without vec_id; of rows that repeat a vec_id the one with the smallest vector takes part; with fewer
+than k other vectors all are returned; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from spillway.llm.common import materialize, only
 MAX_FIT, MAX_VALUES = 20_000, 8_000_000
 LEAF, BRANCHES = 256, 8
 CALIBRATION, TARGET = 200, 0.94
+#: A query's first leaves hold about so many times k vectors.
+FIRST = 20
 BLOCK = 4_096
 
 
@@ -82,6 +86,14 @@ class Tree:
             todo += [(k, at[to == i]) for i, k in enumerate(kids) if (to == i).any()]
         return out
 
+    def middles(self) -> np.ndarray:
+        """The leaves' centres, by leaf."""
+        out = np.zeros((self.leaves, len(self.centres[0])))
+        for node, leaf in enumerate(self.leaf_of):
+            if leaf >= 0:
+                out[leaf] = self.centres[node]
+        return out
+
     def walk(self, q: np.ndarray) -> Iterator[int]:
         """Leaves in best-bin-first order."""
         heap = [(0.0, 0)]
@@ -97,8 +109,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v array<double>): the vectors that take part."""
     v = F.transform("embedding", lambda x: x.cast("double"))
     given = only(vectors, "vec_id", "embedding").select(F.col("vec_id").cast("long"), v.alias("v")).filter("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
-    sound = given.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)).dropDuplicates(["vec_id"])
-    return sound
+    sound = given.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
+    return sound.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -161,33 +173,44 @@ def search(vectors: DataFrame, is_query, k: int = 20, target: float = TARGET, ma
     sent = spark.sparkContext.broadcast(tree)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        middles = sent.value.middles()
         for b in batches:
-            leaf = sent.value.leaf(_matrix(b.column("v"))) if b.num_rows else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(leaf, pa.int32())], names=["vec_id", "v", "leaf"])
-
-    indexed = materialize(sound.mapInArrow(assign, "vec_id long, v array<double>, leaf int"), "ann-index")
-    held = np.zeros(tree.leaves, np.int64)
-    for r in indexed.groupBy("leaf").count().collect():  # at most an eighth as many leaves as vectors were fitted
-        held[r["leaf"]] = r["count"]
+            v = _matrix(b.column("v")) if b.num_rows else np.zeros((0, dim))
+            leaf = sent.value.leaf(v)
+            away = np.sqrt(((v - middles[leaf]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(leaf, pa.int32()), pa.array(away, pa.float64())], names=["vec_id", "v", "leaf", "away"])
+
+    indexed = materialize(sound.mapInArrow(assign, "vec_id long, v array<double>, leaf int, away double"), "ann-index")
+    held, radius = np.zeros(tree.leaves, np.int64), np.zeros(tree.leaves)
+    for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("away")).collect():  # at most an eighth as many leaves as vectors were fitted
+        held[r["leaf"]], radius[r["leaf"]] = r["n"], r["away"]
+    indexed = indexed.drop("away")
     visits = _calibrate(indexed, is_query, tree, held, k, target)
 
-    sent_held = spark.sparkContext.broadcast(held)
+    sent_leaves = spark.sparkContext.broadcast((held, radius))
     blocks = F.greatest(F.ceil(F.element_at(F.array(*[F.lit(int(x)) for x in held]), F.col("leaf") + 1) / BLOCK), F.lit(1)).cast("int")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The leaves that a query visits, in order, each with its best possible inner product; how many are read first."""
+        many, far = sent_leaves.value
+        middles = sent.value.middles()
         for b in batches:
-            paths = []
-            for q in _matrix(b.column("v")) if b.num_rows else []:
-                path, seen = [], 0
-                for leaf in sent.value.walk(q):
+            q = _matrix(b.column("v")) if b.num_rows else np.zeros((0, dim))
+            paths, most, first = [], [], []
+            for x, reach in zip(q, q @ middles.T + np.sqrt((q * q).sum(1))[:, None] * far[None, :], strict=True):
+                path, seen, early = [], 0, 0
+                for leaf in sent.value.walk(x):
                     if len(path) >= visits and seen > k:
                         break
+                    early += seen <= FIRST * k
                     path.append(leaf)
-                    seen += int(sent_held.value[leaf])
+                    seen += int(many[leaf])
                 paths.append(path)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(paths, pa.list_(pa.int32()))], names=["query_id", "q", "path"])
+                most.append(reach[path] + 1e-9 * (1 + np.abs(reach[path])))
+                first.append(early)
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(paths, pa.list_(pa.int32())), pa.array(most, pa.list_(pa.float64())), pa.array(first, pa.int32())], names=["query_id", "q", "path", "most", "first"])
 
-    routed = materialize(indexed.filter(is_query).select("vec_id", "v").mapInArrow(route, "query_id long, q array<double>, path array<int>"), "ann-routes")
+    routed = materialize(indexed.filter(is_query).select("vec_id", "v").mapInArrow(route, "query_id long, q array<double>, path array<int>, most array<double>, first int"), "ann-routes")
     stored = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int")).groupBy("leaf", "block")
 
     def look(asked: DataFrame) -> DataFrame:
@@ -201,19 +224,14 @@ def search(vectors: DataFrame, is_query, k: int = 20, target: float = TARGET, ma
 
         return stored.cogroup(asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).groupBy("leaf", "block")).applyInArrow(run, _FOUND)
 
-    # Leaves are read in rounds of 1, 2, 4, ...; each round's k-th best is the next one's bound, so about k vectors a query come back from every round.
-    longest = routed.agg(F.max(F.size("path"))).first()[0] or 0
-    found, start, width = None, 0, 1
-    while start < longest:
-        asked = routed.withColumn("least", F.lit(float("-inf")))
-        if found is not None:
-            bounds = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("low"))
-            asked = routed.join(bounds, "query_id", "left").withColumn("least", F.coalesce("low", F.lit(float("-inf"))))
-        some = look(asked.select(F.explode(F.slice("path", start + 1, width)).alias("leaf"), "query_id", "q", "least"))
-        found = materialize(_top(some if found is None else found.select("query_id", "vec_id", "score").unionByName(some), k), "ann-found")
-        start, width = start + width, width * 2
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    lowest = F.lit(float("-inf"))
+    asked = routed.select(F.explode(F.slice("path", F.lit(1), F.col("first"))).alias("leaf"), "query_id", "q", lowest.alias("least"))
+    early = materialize(_top(look(asked), k), "ann-first")
+    bounds = early.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("low"))
+    rest = routed.join(bounds, "query_id", "left").withColumn("least", F.coalesce("low", lowest))
+    rest = rest.select("query_id", "q", "least", F.posexplode(F.arrays_zip("path", "most")).alias("at", "to"), "first").filter((F.col("at") >= F.col("first")) & (F.col("to.most") >= F.col("least")))
+    late = look(rest.select(F.col("to.path").alias("leaf"), "query_id", "q", "least"))
+    found = materialize(_top(early.select("query_id", "vec_id", "score").unionByName(late), k), "ann-found")
     return found.select("query_id", "rank", "vec_id", "score")
 
 
