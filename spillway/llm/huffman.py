@@ -2,7 +2,8 @@
 
 A file holds documents in ascending doc_id order:
 
-    magic, number of symbols, documents, blocks, ids per block at most, bytes of bits
+    magic, number of symbols, documents, documents without doc_id (which come first), blocks, ids per block at most,
+    bytes of bits
     code lengths (one byte per symbol), doc_ids, ids per document, ids per block, bit offset of each block, bits
 
 All numbers are little-endian. Every document begins a block and a block holds at most BLOCK ids of one document, so
@@ -17,7 +18,7 @@ whole). What was written is listed in a table beside the files, with the ids bef
 by Spark's binary file source.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a doc_id are adjacent, ordered by content; a
-null doc_id sorts first and is stored as a flag; an empty table gives no files and an empty result; extra columns are
+null doc_id sorts first, and how many there are is stored; an empty table gives no files and an empty result; extra columns are
 ignored.
 """
 
@@ -45,9 +46,8 @@ CACHE_PIECES = 1_000_000
 FILE_IDS, MAX_TASKS = 2_000_000, 20_000
 #: Up to so many files the table of their starts is broadcast (under 20 MB); more are joined by a shuffle.
 BROADCAST_FILES = 200_000
-_HEAD, _HEAD_BYTES = "<8sqqqqq", 48
+_HEAD, _HEAD_BYTES = "<8sqqqqqq", 56
 _MAGIC = b"SPWHUFF2"
-_NULL = -(2**63)
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -215,7 +215,7 @@ def write_files(docs: DataFrame, path: str, out: str, end_id: int = 0, file_ids:
         done: list[tuple] = []
 
         def close() -> None:
-            doc_ids = np.array([_NULL if r[0] is None else r[0] for r in held], "<i8")
+            doc_ids = np.array([r[0] or 0 for r in held], "<i8")
             n_ids = np.array([r[1] for r in held], "<i8")
             sizes = np.array([len(r[2]) for r in held], np.int64)
             base = (np.cumsum(sizes) - sizes) * 8
@@ -224,7 +224,7 @@ def write_files(docs: DataFrame, path: str, out: str, end_id: int = 0, file_ids:
             # A task that is repeated or runs twice writes files of names of its own; the table lists those that count.
             name = f"ids-{task:06d}-{len(done):04d}-{os.urandom(4).hex()}.huf"
             with system.open_output_stream(f"{folder}/_{name}") as f:
-                f.write(struct.pack(_HEAD, _MAGIC, len(size), len(held), len(per), block, int(sizes.sum())))
+                f.write(struct.pack(_HEAD, _MAGIC, len(size), len(held), sum(r[0] is None for r in held), len(per), block, int(sizes.sum())))
                 for part in (size.tobytes(), doc_ids.tobytes(), n_ids.tobytes(), per.tobytes(), offsets.astype("<i8").tobytes()):
                     f.write(part)
                 for r in held:
@@ -270,7 +270,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
         for b in batches:
             for path, data in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
                 view = data.as_buffer()
-                magic, symbols, n_docs, n_blocks, block, n_bits = struct.unpack_from(_HEAD, view, 0)
+                magic, symbols, n_docs, n_nulls, n_blocks, block, n_bits = struct.unpack_from(_HEAD, view, 0)
                 if magic != _MAGIC:
                     raise ValueError("not a token-id file")
                 at, parts = _HEAD_BYTES, []
@@ -293,7 +293,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([path.rsplit("/", 1)[-1]] * (hi - lo), pa.string()),
-                            pa.array(doc_ids[lo:hi], pa.int64(), mask=doc_ids[lo:hi] == _NULL),
+                            pa.array(doc_ids[lo:hi], pa.int64(), mask=np.arange(lo, hi) < n_nulls),
                             pa.array(inside[lo:hi], pa.int64()),
                             pa.array(n_ids[lo:hi], pa.int64()),
                             pa.array(raw, pa.binary()),
