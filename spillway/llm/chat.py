@@ -130,8 +130,11 @@ def format_segments(conversations: DataFrame, template: Template = INSTRUCT) ->
 _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("valid", pa.bool_())])
 
 
-def digest(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
-    """Per conversation, what can be read back from its segments' text; the loss columns come from the loss flags."""
+def digest(segments: DataFrame, template: Template = INSTRUCT, in_order: bool = False) -> DataFrame:
+    """Per conversation, what can be read back from its segments' text; the loss columns come from the loss flags.
+
+    in_order: segments come straight from format_segments, so each conversation lies in one task, in order; a table that
+    was read anew is dealt and sorted first."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fmt = Format(template)
@@ -164,6 +167,7 @@ def digest(segments: DataFrame, template: Template = INSTRUCT) -> DataFrame:
         if now:
             yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(closed(), _DIGEST, strict=True)], schema=_DIGEST)
 
-    # Segments are already dealt and sorted by conversation: the exchange and sort below are only needed for a table read anew.
-    ordered = only(segments, "conv_id", "segment", "turn_no", "text", "loss", "state").repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+    ordered = only(segments, "conv_id", "segment", "turn_no", "text", "loss", "state")
+    if not in_order:
+        ordered = ordered.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
     return ordered.mapInArrow(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")

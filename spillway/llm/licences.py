@@ -86,6 +86,8 @@ BODIES = [
 ]
 WINDOWS, LONG_WINDOWS = (2, 3, 4, 5, 6), (8, 12, 16, 24, 32, 48)
 
+#: Parts that the files of a directory, and the directories below one, are cut into for the joins by path.
+CUTS = 16
 _NO_PATH = "\0"
 _APART = r"[^\p{L}\p{N}]+"
 
@@ -187,9 +189,13 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None, threshold: f
     parts = F.split("dir", "/", -1)
     up = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     dirs = marked.filter("dir IS NOT NULL").select("dir").distinct().select("dir", F.explode(F.array_distinct(up)).alias("at"))
-    nearest = dirs.join(voices, "at").groupBy("dir").agg(F.max(F.struct(F.length("at").alias("depth"), "dir_licence", "dir_score", "dir_path")).alias("v"))
-    nearest = nearest.select(F.col("dir").alias("in_dir"), "v.dir_licence", "v.dir_score", "v.dir_path")
-    told = marked.join(nearest, marked["dir"] == nearest["in_dir"], "left")
+    # All directories have the topmost ones as ancestors, and one may hold most files: such keys are cut by a hash, and the few rows on the other side copied.
+    cut = F.pmod(F.xxhash64("dir"), F.lit(CUTS)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(CUTS - 1)))
+    nearest = dirs.withColumn("cut", cut).join(voices.withColumn("cut", copies), ["at", "cut"]).groupBy("dir").agg(F.max(F.struct(F.length("at").alias("depth"), "dir_licence", "dir_score", "dir_path")).alias("v"))
+    nearest = nearest.select(F.col("dir").alias("in_dir"), "v.dir_licence", "v.dir_score", "v.dir_path").withColumn("in_cut", copies)
+    told = marked.withColumn("cut", F.pmod(F.xxhash64("path"), F.lit(CUTS)).cast("int"))
+    told = told.join(nearest, (told["dir"] == nearest["in_dir"]) & (told["cut"] == nearest["in_cut"]), "left")
     origin = F.when(F.col("own").isNotNull(), "own").when(F.col("dir_licence").isNotNull(), "inherited")
     return told.select(
         F.when(placed, F.col("path")).alias("path"),

@@ -25,7 +25,27 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.digest(chat.format_segments(given.unionByName(extra)))
+    return chat.digest(chat.format_segments(given.unionByName(extra)), in_order=True)
+
+
+# Characters that escaping adds: one per backslash and one per control string.
+_ADDED = " + ".join([r"(length(x) - length(replace(x, '\\', '')))", *(f"(length(x) - length(replace(x, '{c}', ''))) // {len(c)}" for c in chat.Format(chat.INSTRUCT).t.controls())])
+OP3_SQL = f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+  SELECT *, row_number() OVER w AS pos, lag(role, 1, '') OVER w AS before, lead(role) OVER w IS NULL AS ends,
+    length(x) + {_ADDED} + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+      ELSE 21 + length(role) + length(regexp_replace(role, '[^\\\\]', '', 'g')) END AS chars
+  FROM given WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, x))
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || x || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(CASE before WHEN '' THEN role IN ('system', 'user') AND pos = 1 WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user' ELSE false END)
+    AND bool_and(NOT ends OR role IN ('user', 'assistant')) AS valid
+FROM turns GROUP BY conv_id
+"""
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +108,23 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+items AS (SELECT doc_id, unnest(s) AS v FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.v = b.v AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS start, doc_id AS here FROM sets UNION SELECT start, b FROM reach JOIN sym ON here = a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, low AS component_id, low = doc_id AS kept
+FROM sets JOIN (SELECT start, min(here) AS low FROM reach GROUP BY 1) ON start = doc_id
+"""
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     training = toxicity.training_rows(table(spark, sf_dir, "labels")).select("doc_id", "toxic")
     scored = toxicity.score(table(spark, sf_dir, "documents"), training)
@@ -112,4 +149,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_best_fit_packing": op2_best_fit_packing, "op3_chat_format": op3_chat_format, "op4_mix_sources": op4_mix_sources, "op5_nearest_vectors": op5_nearest_vectors, "op6_line_dedup": op6_line_dedup, "op7_near_dup": op7_near_dup, "op8_toxicity": op8_toxicity, "op9_licence_scan": op9_licence_scan, "op10_token_files": op10_token_files}
-ORACLES = {"op4_mix_sources": OP4_SQL, "op6_line_dedup": OP6_SQL}
+ORACLES = {"op3_chat_format": OP3_SQL, "op4_mix_sources": OP4_SQL, "op6_line_dedup": OP6_SQL, "op7_near_dup": OP7_SQL}

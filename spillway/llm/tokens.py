@@ -84,7 +84,7 @@ class PieceEncoder:
 
 
 if sys.byteorder != "little" or array("I").itemsize != 4:
-    raise ImportError("token ids are kept as the machine's unsigned 32-bit integers, which must be little-endian")
+    raise RuntimeError("token ids are kept as the machine's unsigned 32-bit integers, which must be little-endian")
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 _encoders: dict[str, PieceEncoder] = {}
 
