@@ -18,6 +18,7 @@ from spillway.operators import writes as W
 from spillway.operators.export import export_parquet
 from spillway.operators.tiered import Node, Partition, Store, TieredStore, TierError, align
 from spillway.plans.command import capture
+from spillway.queries import QUERIES
 from spillway.sources import dynamic, files
 from spillway.sources.snapshots import ConcurrentCommit, VersionedTable
 from spillway.types import inspect, store_name
@@ -180,6 +181,104 @@ def test_tier(spark, tmp_path):
     assert align(dt.datetime(2024, 5, 9, 3), "day") == dt.datetime(2024, 5, 9)
 
 
+def test_tier_publishes_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    from spillway.sources import fs
+
+    roots = spark.createDataFrame([(i, f"2024-0{1 + i % 5}-10") for i in range(20)], "id int, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    store = TieredStore(spark, Store(Node("r", ("id",)), "at", f"file://{tmp_path}/tier"))
+    store.archive({"r": roots}, dt.datetime(2024, 2, 1))
+    before, real = store.control(), fs.publish_text
+
+    def killed(spark, path, text):
+        fs.write_text(spark, path + ".0.tmp", text)  # the first step is done, the second is not
+        raise OSError("killed")
+
+    monkeypatch.setattr(fs, "publish_text", killed)
+    with pytest.raises(OSError, match="killed"):
+        store.archive({"r": roots}, dt.datetime(2024, 4, 1))
+    assert store.control() == before and store.cold().count() == 4 and [g["state"] for g in store.inventory()] == ["active", "candidate"]
+    # Two runs from one state: one publishes.
+    monkeypatch.setattr(fs, "publish_text", lambda spark, path, text: (real(spark, path, "{}"), real(spark, path, text)))
+    with pytest.raises(TierError, match="first"):
+        store.archive({"r": roots}, dt.datetime(2024, 4, 1))
+    fs.delete(spark, store._control_path(2))
+    monkeypatch.setattr(fs, "publish_text", real)
+    after = store.archive({"r": roots}, dt.datetime(2024, 4, 1))
+    assert set(before.files["r"]) < set(after.files["r"]) and store.cold().count() == 12
+    assert sorted(r.id for r in store.key_index().collect()) == sorted(r.id for r in store.cold().collect())
+    kept = [f for f in after.files["r"] if "tier_month=2024-01" not in f]
+    assert store.purge_older_than(dt.datetime(2024, 2, 20)) == 4 and store.control().files["r"] == kept and store.key_index().count() == 8
+    with pytest.raises(TierError):
+        store.scope()
+    with pytest.raises(TierError):
+        store.scope(keys=spark.range(1))
+    other = TieredStore(spark, Store(Node("s", ("id",)), "at", f"file://{tmp_path}/tier"))
+    fs.write_text(spark, store._marker("x"), '{"store": "r"}')
+    with pytest.raises(TierError, match="begun"):
+        other.inventory()
+
+
+def test_table_logs(spark, tmp_path, monkeypatch):
+    from spillway.sources import fs, snapshots
+
+    monkeypatch.setattr(snapshots, "CHECKPOINT", 3)
+    table = VersionedTable(spark, f"file://{tmp_path}/t")
+    rows = spark.range(40).select(F.col("id").cast("int"), F.lit("a").alias("v"))
+    table.overwrite(rows.repartitionByRange(4, "id"), at=1.0)
+    for i in range(6):
+        table.append(rows.limit(1).select(F.lit(100 + i).alias("id"), F.lit("b").alias("v")), at=2.0 + i)
+    assert table._numbers("checkpoint") == [3, 6] and [len(table.files(i)) for i in (1, 2, 7)] == [4, 5, 10]
+    assert table.read(snapshot=4).count() == 43 and table.as_of(4.5).id == 4
+    base = table.current()
+    made = W.merge_into(table, spark.createDataFrame([(3, "x"), (100, "y"), (999, "z")], "id int, v string"), ["id"])
+    assert len(made.removed) == 2 and set(table.files(base.id)) - set(made.removed) <= set(table.files(made.id))
+    assert {r.id: r.v for r in table.read().filter("v not in ('a', 'b')").collect()} == {3: "x", 100: "y", 999: "z"} and table.read().count() == 47
+    assert W.update_rows(table, F.col("id") > 1000, {"v": F.lit("q")}) == 0 and table.newest() == made.id
+    with pytest.raises(W.AffectedRowsError):
+        W.delete_rows(table, F.col("id") >= 100, expected=1)
+    assert W.delete_rows(table, F.col("id") >= 100, expected=7) == 7
+    table.set_message(1, "first", "me")
+    assert table.expire(keep_last=2, dry_run=False) == list(range(1, made.id))
+    assert [s.id for s in table.snapshots()] == [made.id, made.id + 1] and table.snapshots(expired=True)[0].message == "first"
+    assert table.read().count() == 40 and table.cleanup_old_files(dry_run=False) and table.read().count() == 40
+    with pytest.raises(LookupError):
+        table.read(snapshot=2)
+    with pytest.raises(FileExistsError):
+        fs.publish_text(spark, table._log(1), "{}")
+    table.compact(file_bytes=1 << 30)
+    assert len(table.files(table.newest())) == 1 and table.read().count() == 40
+
+
+def test_upsert_needs_single_keys(spark):
+    t = spark.createDataFrame([(1, "a")], "id int, v string")
+    with pytest.raises(Exception, match="not unique"):
+        W.upsert(t, spark.createDataFrame([(2, "x"), (2, "y")], "id int, v string"), ["id"]).collect()
+    assert sorted(tuple(r) for r in W.upsert(t, spark.createDataFrame([(None, "x"), (None, "y")], "id int, v string"), ["id"]).collect() if r.id) == [(1, "a")]
+    ties = spark.createDataFrame([(1, "b", 5), (1, "c", 5)], "id int, v string, at int")
+    assert {W.last_wins(ties.orderBy(F.rand()), ["id"], "at").first().v for _ in range(4)} == {"c"}
+
+
+def test_exact_division_and_joins(spark):
+    from spillway.operators.joins import asof_join, range_join
+
+    assert one(spark, M.divide_int(F.lit(9007199254740993), F.lit(1)), M.divide_int(F.lit(-7), F.lit(2)), M.divide_int(F.lit(1), F.lit(0))) == (9007199254740993, -3, None)
+    left = spark.createDataFrame([("a", 1), ("a", 9), ("a", 25), (None, 9), ("b", 3)], "k string, t int")
+    right = spark.createDataFrame([("a", 2, "x"), ("a", 9, "y"), (None, 1, "n"), ("b", 4, "z")], "k string, rt int, v string")
+    want = [(None, 9, None), ("a", 1, None), ("a", 9, "y"), ("a", 25, "y"), ("b", 3, None)]
+    for bucket in (None, F.floor(F.col("__at") / 5)):
+        got = asof_join(left, right, ["k"], "t", "rt", ["v"], bucket).select("k", "t", "v").collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    points, ranges = spark.range(30).select(F.col("id").cast("double").alias("p")), spark.createDataFrame([(0, 3.0, 17.0), (1, 5.0, 5.0), (2, -4.0, 1.0)], "r int, lo double, hi double")
+    got = range_join(points, ranges, F.col("p"), F.col("lo"), F.col("hi"), 4.0).select("p", "r").collect()
+    assert sorted(map(tuple, got)) == sorted((float(p), r) for p in range(30) for r, lo, hi in ((0, 3, 17), (2, -4, 1)) if lo <= p < hi)
+
+
+def test_json_documents(spark):
+    a, b = F.lit('{"x": 1, "y": {"p": 1, "q": [1, 2]}}'), F.lit('{"y":{"q":[1,2],"p":1},"x":1}')
+    assert one(spark, J.equal(a, b), J.equal(a, F.lit("{}")), J.equal(F.lit("not json"), a), J.equal(F.lit(None).cast("string"), F.lit(None).cast("string"))) == (True, False, False, True)
+    assert one(spark, J.value(F.lit('{"it\'s": {"a": {"b\'c": 7}}}'), "it's", "a", "b'c", kind="int"), J.value(F.lit("{}"), "it's"))  == (7, None)
+
+
 def test_plans(spark):
     spark.range(3).createOrReplaceTempView("three")
     assert capture("SELECT * FROM three WHERE id > :x", "count", x=0).replay(spark) == 2
@@ -200,7 +299,23 @@ def test_stream_upsert(spark, tmp_path):
     assert sorted(tuple(r) for r in table.read().collect()) == [(1, "c"), (2, "b")]
 
 
-def test_entry_stands_without_optional_parts():
+def test_entry_stands_without_optional_parts(tmp_path):
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    top = pathlib.Path(entry.__file__).parent
+    shutil.copytree(top / "spillway", tmp_path / "spillway", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(top / "__spark_entry__.py", tmp_path)
+    say = "import __spark_entry__ as e; print(len(e.queries()), *[n for n in e.queries() if n.startswith('op') and n[2].isdigit() or n == 'pipeline'])"
+    run = lambda: subprocess.run([sys.executable, "-B", "-c", say], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=False)
+    assert run().stdout.split() == [str(len(QUERIES))]
+    # A part that is there but does not import is an error.
+    (tmp_path / "spillway/llm").mkdir()
+    (tmp_path / "spillway/llm/__init__.py").write_text("")
+    (tmp_path / "spillway/llm/queries.py").write_text("import no_such_module\n")
+    assert "no_such_module" in run().stderr
