@@ -10,11 +10,10 @@ All numbers are little-endian. Every document begins a block and a block holds a
 any block can be decoded from its bit offset alone. Codes come from the id counts of the whole corpus and are at most
 MAX_BITS long, so one table of 2**MAX_BITS entries decodes them.
 
-Steps: documents are tokenised once into a table of ids; counts are summed; each document is encoded where its ids
-lie; the encoded documents are dealt by ranges of (doc_id, length, hash, a number drawn for the row), so that neither a
-doc_id nor a text that a third of the rows share meets in one task; each task writes its range, sorted, as files of
-about file_ids ids, of which it holds one at a time (under a temporary name first, so that a repeated task's file is
-whole). What was written is listed in a table beside the files, with the ids before each file. The files are read back
+Steps: documents are tokenised once into a table of ids; counts are summed; the documents are dealt by ranges of
+(doc_id, length, hash, a number drawn for the row), so that neither a doc_id nor a text that a third of the rows share
+meets in one task; each task encodes and writes its range, sorted, as files of about file_ids ids, of which it holds
+one at a time (under a temporary name first, so that a repeated task's file is whole). What was written is listed in a table beside the files, with the ids before each file. The files are read back
 by Spark's binary file source.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat a doc_id are adjacent, ordered by content; a
@@ -197,18 +196,8 @@ def write_files(docs: DataFrame, path: str, out: str, end_id: int = 0, file_ids:
     total = int(counts.sum())
     sent = spark.sparkContext.broadcast((lengths, canonical(lengths)))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, code = sent.value
-        for b in batches:
-            bits, offsets = [], []
-            for n, data in zip(b.column("n_ids").to_pylist(), b.column("ids").to_pylist(), strict=True):
-                done, blocks = encode_bits(_numbers(data, n), size, code, block)
-                bits.append(done)
-                offsets.append(blocks.astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_ids"), pa.array(bits, pa.binary()), pa.array(offsets, pa.binary()), b.column("salt")], names=["doc_id", "n_ids", "bits", "offsets", "salt"])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, _ = sent.value
+        size, code = sent.value
         task = TaskContext.get().partitionId()
         system, folder = _file_system(out)
         held: list = []
@@ -219,7 +208,7 @@ def write_files(docs: DataFrame, path: str, out: str, end_id: int = 0, file_ids:
             n_ids = np.array([r[1] for r in held], "<i8")
             sizes = np.array([len(r[2]) for r in held], np.int64)
             base = (np.cumsum(sizes) - sizes) * 8
-            offsets = np.concatenate([np.frombuffer(r[3], "<i8") + o for r, o in zip(held, base, strict=True)])
+            offsets = np.concatenate([r[3] + o for r, o in zip(held, base, strict=True)])
             per = np.concatenate([np.r_[np.full((n - 1) // block, block), (n - 1) % block + 1] for n in n_ids]).astype("<i4")
             # A task that is repeated or runs twice writes files of names of its own; the table lists those that count.
             name = f"ids-{task:06d}-{len(done):04d}-{os.urandom(4).hex()}.huf"
@@ -235,12 +224,13 @@ def write_files(docs: DataFrame, path: str, out: str, end_id: int = 0, file_ids:
 
         inside = 0
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n_ids", "bits", "offsets")), strict=True):
-                if held and inside + row[1] > file_ids:
+            for doc_id, n, data in zip(b.column("doc_id").to_pylist(), b.column("n_ids").to_pylist(), b.column("ids"), strict=True):
+                if held and inside + n > file_ids:
                     close()
                     inside = 0
-                held.append(row)
-                inside += row[1]
+                bits, blocks = encode_bits(_numbers(data.as_buffer(), n), size, code, block)
+                held.append((doc_id, n, bits, blocks))
+                inside += n
         if held:
             close()
         yield pa.RecordBatch.from_pylist([dict(zip(("file", "task", "seq", "docs", "ids"), d, strict=True)) for d in done], schema=pa.schema([("file", pa.string()), ("task", pa.int32()), ("seq", pa.int32()), ("docs", pa.int64()), ("ids", pa.int64())]))
@@ -248,9 +238,9 @@ def write_files(docs: DataFrame, path: str, out: str, end_id: int = 0, file_ids:
     system, folder = _file_system(out)
     system.create_dir(folder, recursive=True)
     tasks = int(min(max(1, -(-total // file_ids)), MAX_TASKS))
-    coded = table.mapInArrow(encode, "doc_id long, n_ids long, bits binary, offsets binary, salt long").withColumn("hash", F.xxhash64("bits"))
+    # Dealing by ranges takes a sample first, in a pass of its own: so rows are dealt as they lie in the table, and encoded behind it.
     order = [F.col("doc_id").asc_nulls_first(), "n_ids", "hash", "salt"]
-    ordered = coded.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    ordered = table.withColumn("hash", F.xxhash64("ids")).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     written = materialize(ordered.drop("hash", "salt").mapInArrow(write, _WRITTEN), "token-files")
     # One small row per file, in one ordered sum.
     before = Window.orderBy("task", "seq").rowsBetween(Window.unboundedPreceding, -1)
