@@ -82,6 +82,11 @@ def xor_bool(a: Column, b: Column) -> Column:
     return (a & ~b) | (~a & b)
 
 
+def has_flag(x: Column, flag: int) -> Column:
+    """Whether all bits of the flag are set; NULL for NULL."""
+    return x.bitwiseAND(F.lit(flag)) == flag
+
+
 def divide_int(a: Column, b: Column) -> Column:
     """Integer division that drops the remainder toward zero, as the query language has it; NULL for a zero divisor."""
     return F.when(b != 0, F.call_function("div", a.cast("long"), b.cast("long")))

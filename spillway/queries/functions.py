@@ -109,6 +109,7 @@ select("decimal_div", "part", "p_partkey", {"r": (lambda: F.round(M.divide_decim
 select("bit_shift", "part", "p_partkey", {"l": (lambda: M.shift_left(c("p_size") - 20, 2), "CASE WHEN p_size - 20 >= 0 THEN CAST((p_size - 20) << 2 AS INT) END"), "r": (lambda: M.shift_right(c("p_size") - 20, 1), "CASE WHEN p_size - 20 >= 0 THEN CAST((p_size - 20) >> 1 AS INT) END")})
 select("xor_ops", "part", "p_partkey", {"b": (lambda: M.xor_bool(c("p_size") > 20, c("p_partkey") % 2 == 0), "((p_size > 20) AND NOT (p_partkey % 2 = 0)) OR (NOT (p_size > 20) AND (p_partkey % 2 = 0))"), "i": (lambda: c("p_size").bitwiseXOR(F.lit(5)), "CAST(xor(p_size, 5) AS INT)")})
 select("bitwise", "part", "p_partkey", {"a": (lambda: c("p_size").bitwiseAND(F.lit(12)), "CAST(p_size & 12 AS INT)"), "o": (lambda: c("p_size").bitwiseOR(F.lit(3)), "CAST(p_size | 3 AS INT)"), "n": (lambda: F.bitwise_not(c("p_size")), "CAST(~p_size AS INT)")})
+select("enum_flags", "part", "p_partkey", {"has": (lambda: M.has_flag(c("p_size"), 12), "p_size & 12 = 12"), "none": (lambda: M.has_flag(F.when(c("p_size") > 5, c("p_size")), 4), "CASE WHEN p_size > 5 THEN p_size & 4 = 4 END")})
 select(
     "casts",
     "customer",

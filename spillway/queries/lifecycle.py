@@ -16,7 +16,7 @@ from spillway.operators.tiered import Node, Partition, SharedChild, Store, Tiere
 from spillway.queries.registry import query
 from spillway.session import configure
 from spillway.sources import files, fs
-from spillway.sources.catalogs import Catalog, Catalogs
+from spillway.sources.catalogs import Catalog, Catalogs, scaffold
 from spillway.sources.snapshots import VersionedTable
 from spillway.types import inspect
 
@@ -293,6 +293,19 @@ def catalogs_attached(t):
     return both.sql("SELECT n_name FROM {old} EXCEPT SELECT n_name FROM {new}", old="before.nation", new="nation")
 
 
+@query("SELECT * FROM (VALUES ('nation', 'n_name', 'VARCHAR', ''), ('nation', 'n_nationkey', 'INTEGER', 'primary'), ('nation', 'n_regionkey', 'INTEGER', 'region.r_regionkey'), ('region', 'r_name', 'VARCHAR', 'unique'), ('region', 'r_regionkey', 'INTEGER', 'primary')) v(tab, col, kind, role)")
+def scaffold_keys(t):
+    """A model's tables, columns and keys, as the catalog has them."""
+    lake = _lake(t)
+    lake.table("nation").declare(primary=["n_nationkey"], foreign={"n_regionkey": ("region", "r_regionkey")})
+    lake.table("region").declare(primary=["r_regionkey"], unique=[["r_name"]])
+    rows = []
+    for x in scaffold(lake):
+        role = {c: "primary" for c in x["primary"]} | {c: "unique" for u in x["unique"] for c in u} | {c: ".".join(to) for c, to in x["foreign"].items()}
+        rows += [(x["name"], c["name"], c["type"], role.get(c["name"], "")) for c in x["columns"]]
+    return t.spark.createDataFrame(rows, "tab string, col string, kind string, role string")
+
+
 @query("SELECT n_nationkey, n_name FROM nation")
 def scan_search_path(t):
     """A relative path, below the folder that the session names."""

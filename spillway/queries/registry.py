@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from spillway.sources import fs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_schemas: dict[tuple, StructType] = {}
+
+
 class Tables:
     """t.orders is the table orders of a folder."""
 
@@ -17,7 +23,12 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        key = (path, *fs.stamp(self.spark, path))
+        # Inferring a schema is a job of its own; a table that has not changed keeps the one it had.
+        if key not in _schemas:
+            _schemas[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[key]).parquet(path)
 
 
 def query(sql: str | None = None) -> Callable:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spillway.sources import fs
 from spillway.sources.snapshots import VersionedTable
+from spillway.types import store_name
 
 
 class Catalog:
@@ -26,6 +27,17 @@ class Catalog:
         return self.table(name).read(snapshot, timestamp)
 
 
+def scaffold(catalog: Catalog) -> list[dict]:
+    """The tables of a catalog with columns (name, store type, nullable), keys and the snapshot they are of, as a model can be made from."""
+    out = []
+    for name in catalog.names():
+        table = catalog.table(name)
+        now = table.current()
+        columns = [{"name": f.name, "type": store_name(f.dataType), "nullable": f.nullable} for f in table.frame(now, ()).schema.fields]
+        out.append({"name": name, "snapshot": now.id, "columns": columns, **table.declared()})
+    return out
+
+
 class Catalogs:
     """Attached catalogs by alias; tables are called alias.name, those of the first one by their name alone too."""
 

@@ -75,6 +75,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(p)) if system.exists(p) else []
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """When a file or folder was changed last, and its length."""
+    system, p = _at(spark, path)
+    status = system.getFileStatus(p)
+    return status.getModificationTime(), status.getLen()
+
+
 def sizes(spark: SparkSession, files: list[str]) -> dict[str, int]:
     """Files' lengths in bytes."""
     out = {}
