@@ -60,11 +60,10 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_target:
 def measured(docs: DataFrame) -> DataFrame:
     """docs with q_u (the words' hashes) and the base statistics q_n_words, q_word_chars, q_n_symbols, q_n_dup_lines, q_n_repeat_words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    w, u, h, s, d = F.col("q_words"), F.col("q_u"), F.col("q_h"), F.col("q_s"), F.col("q_d")
+    w, u, h, p, at = (F.col(c) for c in ("q_words", "q_u", "q_h", "q_p", "q_at"))
     last = F.size(u) - 3
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
-    cells, at = F.col("q_cells"), F.col("q_at")
-    first = docs.drop("q_words", "q_u", "q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words", "q_h", "q_s", "q_d", "q_cells", "q_at", "q_lines")
+    first = docs.drop("q_words", "q_u", "q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words", "q_h", "q_p", "q_at", "q_lines")
     return (
         first.withColumns({"q_words": words(F.col("text")), "q_lines": lines})
         .withColumns(
@@ -78,18 +77,15 @@ def measured(docs: DataFrame) -> DataFrame:
         )
         # A hash for each window of three words, by position.
         .withColumn("q_h", F.transform(F.slice(u, 1, F.greatest(last + 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(u, i + 1), F.get(u, i + 2))))
-        .withColumn("q_s", F.sort_array(h))
+        # Windows sorted by hash, with their positions: one that occurs twice or more lies beside its like.
         # Columns that a lambda reads are named twice at least: Catalyst then computes them once a row instead of inlining them into the lambda.
-        # The windows that occur twice or more, dealt to about as many cells as a cell has windows: a lookup reads one cell.
-        .withColumn("q_d", F.array_distinct(F.filter(s, lambda x, i: x == F.get(s, i - 1))))
-        .withColumn("q_n_cells", F.greatest(F.ceil(F.sqrt(F.size(d))), F.lit(1)).cast("int"))
-        .withColumn("q_cells", F.transform(F.sequence(F.lit(0), F.col("q_n_cells") - 1), lambda c: F.filter(d, lambda x: F.pmod(x, F.col("q_n_cells")) == c)))
-        .withColumn("q_at", F.when((F.size(d) > 0) & (F.size(cells) > 0), F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_contains(F.get(cells, F.pmod(F.get(h, i), F.col("q_n_cells")).cast("int")), F.get(h, i)))).otherwise(F.array().cast("array<int>")))
+        .withColumn("q_p", F.when(F.size(h) > F.size(F.array_distinct(h)), F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
+        .withColumn("q_at", F.sort_array(F.transform(F.filter(p, lambda x, i: F.coalesce(x["h"] == F.get(p, i - 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get(p, i + 1)["h"], F.lit(False))), lambda x: x["i"])))
         .withColumn(
             "q_n_repeat_words",
             F.aggregate(at, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n")), lambda a: a["n"]),
         )
-        .drop("q_words", "q_h", "q_s", "q_d", "q_cells", "q_at", "q_lines", "q_n_cells")
+        .drop("q_words", "q_h", "q_p", "q_at", "q_lines")
     )
 
 
