@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +91,32 @@ def _at_exit() -> None:
         pass
 
 
+# -- what Python workers keep -------------------------------------------------------------------------------------------
+_caches: list[dict] = []
+_holder: list[str | None] = [None]
+
+
+def worker_cache() -> dict:
+    """A module's cache in a Python worker, which lives from task to task; emptied once another operator's tasks come."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def holds(operator: str) -> None:
+    """Said by an operator's tasks as they begin: what other operators' tasks kept in this worker goes, back to the system too, so that workers which serve one operator after another need no more memory than the largest of them."""
+    if _holder[0] == operator:
+        return
+    _holder[0] = operator
+    for cache in _caches:
+        cache.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order (null: none)."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spillway.llm.common import materialize, only, scratch_path
+from spillway.llm.common import holds, materialize, only, scratch_path
 from spillway.llm.tokens import encoder
 
 MAX_BITS = 18
@@ -139,6 +139,7 @@ def id_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("token files")
         enc, rng = encoder(path, CACHE_PIECES), np.random.default_rng()
         wide = "<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for b in batches:

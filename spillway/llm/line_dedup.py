@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spillway.llm.common import BLANKS, lower_ascii, materialize, only, set_aside
+from spillway.llm.common import BLANKS, holds, lower_ascii, materialize, only, set_aside, worker_cache
 
 #: Arrays up to this size are broadcast; beyond it they are probed shard by shard.
 BROADCAST_BYTES = 64 << 20
@@ -183,6 +183,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, broadcast_bytes: int = BROAD
         sent = spark.sparkContext.broadcast({r["shard"]: r.asDict() for r in index.collect()})
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            holds("line dedup")
             arrays = _opened(sent)
             for batch in batches:
                 lists = batch.column("ld_hashes")
@@ -226,7 +227,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, broadcast_bytes: int = BROAD
     return keyed.join(drops, "ld_row", "left").drop("ld_row").mapInArrow(rebuild, out)
 
 
-_open: dict[int, dict[int, Shard]] = {}
+_open: dict[int, dict[int, Shard]] = worker_cache()
 
 
 def _opened(sent) -> dict[int, Shard]:

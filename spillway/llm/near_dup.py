@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from spillway.llm.common import materialize, only, set_aside
+from spillway.llm.common import holds, materialize, only, set_aside
 
 K = 64
 SHINGLE = 5
@@ -81,6 +81,7 @@ def signatures(docs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, n, x, sketch): set size, the set's node, the k smallest values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("near-dedup")
         for b in batches:
             n, names, sketches = [], [], []
             for text in b.column("text").to_pylist():

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spillway.llm.common import materialize, only
+from spillway.llm.common import holds, materialize, only
 from spillway.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -186,6 +186,7 @@ def tokenised(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFra
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("packing")
         enc, rng = encoder(path), np.random.default_rng()
         for b in batches:
             n, crcs = [], []

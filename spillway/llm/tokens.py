@@ -15,6 +15,8 @@ import re
 import sys
 from array import array
 
+from spillway.llm.common import worker_cache
+
 # Letters, numbers and white space among the plain characters, which are ASCII text and Latin-1 and Latin Extended A and B signs. Their classes and normal forms are the same in every Unicode version.
 _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t\n\r \xa0"
 _BEYOND = re.compile("[^\t\n\r\x20-\x7e\xa0-\u024f]").search
@@ -86,7 +88,7 @@ class PieceEncoder:
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise RuntimeError("token ids are kept as the machine's unsigned 32-bit integers, which must be little-endian")
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, PieceEncoder] = worker_cache()
 
 
 def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> PieceEncoder:
