@@ -42,7 +42,7 @@ BLOCK = 4096
 #: Pieces that a worker keeps at most: about 200 MB.
 CACHE_PIECES = 1_000_000
 #: Documents' ids per file, about, and tasks that write at most.
-FILE_IDS, MAX_TASKS = 2_000_000, 20_000
+FILE_IDS, MAX_TASKS = 4_000_000, 20_000
 #: Up to so many files the table of their starts is broadcast (under 20 MB); more are joined by a shuffle.
 BROADCAST_FILES = 200_000
 _HEAD, _HEAD_BYTES = "<8sqqqqqq", 56
@@ -158,12 +158,12 @@ def count_ids(table: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for b in batches:
-            for n, data in zip(b.column("n_ids").to_pylist(), b.column("ids").to_pylist(), strict=True):
-                part = np.bincount(_numbers(data, n))
-                if len(part) > len(total):
-                    total = np.r_[total, np.zeros(len(part) - len(total), np.int64)]
-                total[: len(part)] += part
+        for b in (whole.slice(lo, 256) for whole in batches for lo in range(0, whole.num_rows, 256)):
+            # A table's ids are all of one width.
+            part = np.bincount(_numbers(b"".join(b.column("ids").to_pylist()), sum(b.column("n_ids").to_pylist())))
+            if len(part) > len(total):
+                total = np.r_[total, np.zeros(len(part) - len(total), np.int64)]
+            total[: len(part)] += part
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
 
