@@ -64,3 +64,9 @@ def test_elements_at_the_bound(spark, tmp_path, name):
     odd = "SELECT * FROM embeddings UNION ALL SELECT -1, [0.3, 0.1], 0 UNION ALL SELECT -2, [0.35], 0 UNION ALL SELECT -3, [0.2, NULL], 0 UNION ALL SELECT -4, [NULL], 0 UNION ALL SELECT -5, NULL, 0 UNION ALL SELECT -6, [], 0"
     got, expected = _against_sql(spark, name, tmp_path, embeddings=f"SELECT vec_id, embedding::FLOAT[] AS embedding, label FROM ({odd})")
     assert got == expected
+
+
+def test_atanh_at_its_ends(spark, tmp_path):
+    odd = "SELECT * REPLACE (CASE c_custkey WHEN 1 THEN 8000.0 WHEN 2 THEN -8000.0 WHEN 3 THEN 7999.99 ELSE c_acctbal END AS c_acctbal) FROM customer"
+    got, expected = _against_sql(spark, "math_atanh", tmp_path, customer=odd)
+    assert got == expected
