@@ -67,19 +67,19 @@ x0 = 10 AND x1 = 30 AND y0 = 10 AND y1 = 20 AS equals, {_W} >= 0 AND {_H} >= 0 A
 FROM ({_BOX})"""
 )
 def spatial_all_relations(t):
-    return _boxes(t).select("p_partkey", *[G.st_relate(r, F.col("g"), F.lit(_FIXED)).alias(r) for r in G.RELATIONS])
+    return G.spread(_boxes(t), "g").select("p_partkey", *[G.st_relate(r, F.col("g"), F.lit(_FIXED)).alias(r) for r in G.RELATIONS])
 
 
 @query(f"SELECT p_partkey, round({_SHARED}, 6) + 0.0 AS intersection, round({_OWN} + 200.0 - {_SHARED}, 6) AS union_, round({_OWN} - {_SHARED}, 6) + 0.0 AS difference, round({_OWN} + 200.0 - 2 * {_SHARED}, 6) + 0.0 AS symmetric_difference FROM ({_BOX})")
 def spatial_overlays(t):
     area = lambda op: F.round(G.st("area", V.st_overlay(op, F.col("g"), F.lit(_FIXED))), 6) + 0.0
-    return _boxes(t).select("p_partkey", *[area(op).alias(op if op != "union" else "union_") for op in ("intersection", "union", "difference", "symmetric_difference")])
+    return G.spread(_boxes(t), "g").select("p_partkey", *[area(op).alias(op if op != "union" else "union_") for op in ("intersection", "union", "difference", "symmetric_difference")])
 
 
 @query(f"SELECT p_partkey, round(0.5 * 32 * 4.0 * sin(2 * pi() / 32), 6) AS around_point, round((x1 - x0) * (y1 - y0) + 2 * ((x1 - x0) + (y1 - y0)) * 0.5 + 0.5 * 32 * 0.25 * sin(2 * pi() / 32), 6) AS around_box FROM ({_BOX})")
 def spatial_buffer(t):
     point = G.st_point(F.col("p_size"), F.lit(1))
-    return _boxes(t).select("p_partkey", F.round(G.st("area", V.st_buffer(point, 2.0)), 6).alias("around_point"), F.round(G.st("area", V.st_buffer(F.col("g"), 0.5)), 6).alias("around_box"))
+    return G.spread(_boxes(t), "g").select("p_partkey", F.round(G.st("area", V.st_buffer(point, 2.0)), 6).alias("around_point"), F.round(G.st("area", V.st_buffer(F.col("g"), 0.5)), 6).alias("around_box"))
 
 
 @query(f"SELECT p_partkey, CAST(93 AS INT) AS bytes, {_OWN} AS area, true AS valid, CAST(3 AS INT) AS code, true AS inside FROM ({_BOX})")
