@@ -401,3 +401,19 @@ def test_pipeline_over_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert pipeline.run(spark, folder).count() == 0
+
+
+def test_a_model_sent_scores_as_the_one_fitted():
+    """Its terms travel as one buffer."""
+    import pickle
+
+    import numpy as np
+
+    from spillway.llm import toxicity as T
+
+    terms = ["a", "b", "straße", "é"]
+    m = T.Model(terms, np.array([1.0, 2.0, 0.5, 1.5]), (np.zeros(0, np.int64), np.zeros(0)), 1.0, np.arange(4), np.array([0, 1, 0, 1]), ["a straße", "b é", "a a", "b"], (1.0, 1.0), 2)
+    assert isinstance(m.__getstate__()["number"], pa.Array)
+    sent = pickle.loads(pickle.dumps(m))
+    assert sent.number == m.number == {t: i for i, t in enumerate(terms)}
+    assert sent.scores(["a", "b é", "", None, "x"]) == m.scores(["a", "b é", "", None, "x"])
