@@ -6,9 +6,10 @@ inner product with their centre, and leaves are taken as they come out. How many
 for a bounded set of queries the true neighbours are found by brute force over all vectors, and the visits widen
 until the calibration queries' recall reaches the target. A query also goes on until its leaves hold enough candidates.
 
-Leaves are cut into blocks of vectors, so a leaf that holds a third of all rows is many tasks. Leaves are read in two
-rounds: a query's first ones, whose k-th best is its bound, and of its others those that can reach the bound. Every
-leaf keeps its radius, so its best possible inner product is that of its centre and the radius times the query's length
+Leaves are cut into blocks of vectors, so a leaf that holds a third of all rows is many tasks; small leaves that lie side
+by side in the tree share one, to which a query goes once. Leaves are read in rounds, each over WIDER times the vectors
+of all before: the k-th best so far is the query's bound, and of the next leaves those are read that can reach it, for
+vectors that do. So a query's finds grow with the number of rounds, not with that of the leaves. Every leaf keeps its radius, so its best possible inner product is that of its centre and the radius times the query's length
 (Cauchy and Schwarz); leaves that are left out for it could not have changed the result. Scores are inner products in
 double precision of the original vectors, summed in one fixed order, so equal vectors tie exactly.
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spillway.llm.common import materialize, only
@@ -34,7 +35,10 @@ LEAF, BRANCHES = 256, 8
 CALIBRATION, TARGET = 200, 0.94
 #: A query's first leaves hold about so many times k vectors.
 FIRST = 20
-BLOCK = 4_096
+#: A round goes on until a query's leaves hold so many times the vectors of all rounds before.
+WIDER = 8
+#: Vectors and queries that meet in a task.
+BLOCK, QUERIES = 4_096, 65_536
 
 
 class Tree:
@@ -188,53 +192,95 @@ def search(vectors: DataFrame, is_query, k: int = 20, target: float = TARGET, ma
     visits = _calibrate(indexed, is_query, tree, held, k, target)
 
     sent_leaves = spark.sparkContext.broadcast((held, radius))
-    blocks = F.greatest(F.ceil(F.element_at(F.array(*[F.lit(int(x)) for x in held]), F.col("leaf") + 1) / BLOCK), F.lit(1)).cast("int")
+    group, blocks = _shards(held)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The leaves that a query visits, in order, each with its best possible inner product; how many are read first."""
+        """A query's stops: the leaves that it visits in a shard in a round, each with its best possible inner product."""
         many, far = sent_leaves.value
         middles = sent.value.middles()
         for b in batches:
             q = _matrix(b.column("v")) if b.num_rows else np.zeros((0, dim))
-            paths, most, first = [], [], []
+            stops = []
             for x, reach in zip(q, q @ middles.T + np.sqrt((q * q).sum(1))[:, None] * far[None, :], strict=True):
-                path, seen, early = [], 0, 0
-                for leaf in sent.value.walk(x):
-                    if len(path) >= visits and seen > k:
+                path, seen, turn = {}, 0, 0
+                for i, leaf in enumerate(sent.value.walk(x)):
+                    if i >= visits and seen > k:
                         break
-                    early += seen <= FIRST * k
-                    path.append(leaf)
+                    while seen > FIRST * k * WIDER**turn:
+                        turn += 1
+                    path.setdefault((turn, int(group[leaf])), []).append(leaf)
                     seen += int(many[leaf])
-                paths.append(path)
-                most.append(reach[path] + 1e-9 * (1 + np.abs(reach[path])))
-                first.append(early)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(paths, pa.list_(pa.int32())), pa.array(most, pa.list_(pa.float64())), pa.array(first, pa.int32())], names=["query_id", "q", "path", "most", "first"])
+                reach += 1e-9 * (1 + np.abs(reach))
+                stops.append([{"turn": t, "shard": s, "blocks": int(blocks[at].max()), "most": float(reach[at].max()), "leaves": at, "reach": reach[at].tolist()} for (t, s), at in path.items()])
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(stops, stop)], names=["query_id", "q", "stops"])
 
-    routed = materialize(indexed.filter(is_query).select("vec_id", "v").mapInArrow(route, "query_id long, q array<double>, path array<int>, most array<double>, first int"), "ann-routes")
-    stored = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int")).groupBy("leaf", "block")
+    stop = pa.list_(pa.struct({"turn": pa.int32(), "shard": pa.int32(), "blocks": pa.int32(), "most": pa.float64(), "leaves": pa.list_(pa.int32()), "reach": pa.list_(pa.float64())}))
+    of_stops = "array<struct<turn:int, shard:int, blocks:int, most:double, leaves:array<int>, reach:array<double>>>"
+    routed = materialize(indexed.filter(is_query).select("vec_id", "v").mapInArrow(route, f"query_id long, q array<double>, stops {of_stops}"), "ann-routes")
+    about = routed.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_max("stops.turn")).alias("last")).first()
+    parts = max(1, -(-about["n"] // QUERIES))
+
+    def of(numbers: np.ndarray, leaf: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(int(x)) for x in numbers]), leaf + 1).cast("int")
+
+    part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))) if parts > 1 else F.lit(0)
+    stored = indexed.withColumn("shard", of(group, F.col("leaf"))).withColumn("block", F.pmod(F.xxhash64("vec_id"), of(blocks, F.col("leaf"))).cast("int"))
+    stored = stored.withColumn("part", part).groupBy("shard", "block", "part")
 
     def look(asked: DataFrame) -> DataFrame:
-        """asked: (leaf, query_id, q, least); a query goes to every block of the leaf, in parts of queries."""
+        """asked: (query_id, q, least, stop). A query goes once to every block of a shard, with the leaves it visits there; the k best of those come back."""
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            if not left.num_rows or not right.num_rows:
-                return pa.Table.from_pylist([], pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
-            v, q = _matrix(left["v"].combine_chunks()), _matrix(right["q"].combine_chunks())
-            return pa.table(_found(_best(right["query_id"].to_numpy(), q, left["vec_id"].to_numpy(), v, k, right["least"].to_numpy())))
-
-        return stored.cogroup(asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).groupBy("leaf", "block")).applyInArrow(run, _FOUND)
-
-    lowest = F.lit(float("-inf"))
-    asked = routed.select(F.explode(F.slice("path", F.lit(1), F.col("first"))).alias("leaf"), "query_id", "q", lowest.alias("least"))
-    early = materialize(_top(look(asked), k), "ann-first")
-    bounds = early.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("low"))
-    rest = routed.join(bounds, "query_id", "left").withColumn("least", F.coalesce("low", lowest))
-    rest = rest.select("query_id", "q", "least", F.posexplode(F.arrays_zip("path", "most")).alias("at", "to"), "first").filter((F.col("at") >= F.col("first")) & (F.col("to.most") >= F.col("least")))
-    late = look(rest.select(F.col("to.path").alias("leaf"), "query_id", "q", "least"))
-    found = materialize(_top(early.select("query_id", "vec_id", "score").unionByName(late), k), "ann-found")
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+            if left.num_rows and right.num_rows:
+                v, q = _matrix(left["v"].combine_chunks()), _matrix(right["q"].combine_chunks())
+                ids, qid, lie, least = left["vec_id"].to_numpy(), right["query_id"].to_numpy(), left["leaf"].to_numpy(), right["least"].to_numpy()
+                leaves = right["leaves"].combine_chunks()
+                where, asker = leaves.flatten().to_numpy(), np.repeat(np.arange(len(qid)), leaves.value_lengths().to_numpy())
+                can = right["reach"].combine_chunks().flatten().to_numpy() >= least[asker]
+                where, asker = where[can], asker[can]
+                for leaf in np.unique(where):
+                    mine, to = lie == leaf, asker[where == leaf]
+                    if mine.any():
+                        found.append(_best(qid[to], q[to], ids[mine], v[mine], k, least[to]))
+            query, vec, score = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((vec, -score, query))
+            query, vec, score = query[order], vec[order], score[order]
+            top = np.arange(len(query)) - np.searchsorted(query, query) < k
+            return pa.table(_found((query[top], vec[top], score[top])))
+
+        by = asked.select("query_id", "q", "least", "stop.shard", "stop.leaves", "stop.reach", F.explode(F.sequence(F.lit(0), F.col("stop.blocks") - 1)).alias("block"))
+        by = by.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+        return stored.cogroup(by.groupBy("shard", "block", "part")).applyInArrow(run, _FOUND)
+
+    # The k-th best of all leaves so far bounds the next, WIDER times as many; so a round finds about WIDER * k that reach it, however many leaves there are.
+    found = None
+    for turn in range(about["last"] + 1 if about["n"] else 0):
+        to = routed
+        if found is None:
+            to = to.withColumn("least", F.lit(float("-inf")))
+        else:
+            bounds = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("low"))
+            to = to.join(bounds, "query_id", "left").withColumn("least", F.coalesce("low", F.lit(float("-inf"))))
+        now = F.expr(f"filter(stops, s -> s.turn = {turn} AND s.most >= least)")
+        new = look(to.select("query_id", "q", "least", F.explode(now).alias("stop")))
+        new = new if found is None else found.select("query_id", "vec_id", "score").unionByName(new)
+        found = materialize(_top(new, k), f"ann-found{turn}")
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def _shards(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By leaf: its shard, which are leaves side by side in the tree of BLOCK vectors together, and the shard's blocks: 1, or more for a leaf beyond BLOCK vectors, which is a shard of its own."""
+    group, total, shard = np.zeros(len(held), np.int64), 0, 0
+    for leaf, n in enumerate(held.tolist()):
+        if total and total + n > BLOCK:
+            shard, total = shard + 1, 0
+        group[leaf], total = shard, total + n
+    return group, np.maximum(-(-held // BLOCK), 1)
+
+
 def _calibrate(indexed: DataFrame, is_query, tree: Tree, held: np.ndarray, k: int, target: float) -> int:
     """Leaves to visit so that the calibration queries reach the target recall."""
     asked = indexed.filter(is_query).orderBy(F.xxhash64(F.lit("calibrate"), "vec_id"), "vec_id").limit(CALIBRATION).select("vec_id", "v").toArrow()

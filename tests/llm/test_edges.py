@@ -260,6 +260,40 @@ def test_nearest_vectors_reach_the_recall(spark, clustered):
     assert hit / (20 * len(asked)) >= 0.9
 
 
+def _rows_made(spark, name: str, since: int) -> int:
+    """Rows that operators of this name made in executions after one."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store, made = spark._jsparkSession.sharedState().statusStore(), 0
+    for e in (store.executionsList().apply(i) for i in range(store.executionsList().size())):
+        values, nodes = store.executionMetrics(e.executionId()), store.planGraph(e.executionId()).allNodes()
+        for node in (nodes.apply(i) for i in range(nodes.size())) if e.executionId() > since else ():
+            if node.name().startswith(name):
+                metrics = [node.metrics().apply(i) for i in range(node.metrics().size())]
+                made += sum(int(values.get(m.accumulatorId()).get().replace(",", "")) for m in metrics if m.name() == "number of output rows" and values.get(m.accumulatorId()).isDefined())
+    return made
+
+
+def test_nearest_vectors_find_few_a_query_however_many_leaves_are_read(spark):
+    v = np.random.default_rng(12).normal(size=(12_000, 24))
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>")
+    store = spark._jsparkSession.sharedState().statusStore()
+    since = max((store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())), default=-1)
+    assert ann.search(df, F.col("vec_id") % 20 == 0, k=20).count() == 12_000
+    assert 0 < _rows_made(spark, "FlatMapCoGroupsInArrow", since) <= 600 * 20 * 4
+
+
+def test_nearest_vectors_in_small_parts(spark, monkeypatch):
+    """Leaves beyond a block, shards of few leaves and queries in parts find what one task would."""
+    rng = np.random.default_rng(13)
+    v = rng.normal(size=(3000, 8))
+    v[1000:2000] = v[1000]
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>")
+    want = ann.search(df, F.col("vec_id") % 20 == 0, k=20).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(ann, "BLOCK", 300)
+    monkeypatch.setattr(ann, "QUERIES", 40)
+    assert ann.search(df, F.col("vec_id") % 20 == 0, k=20).orderBy("query_id", "rank").collect() == want and len(want) == 3000
+
+
 def test_licences_against_a_full_scan(spark):
     rng = random.Random(10)
     templates = {f"L{i}": " ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()) for _ in range(9)) for i in range(5)}
