@@ -238,6 +238,37 @@ def test_block_max_search_with_any_share_of_dense_rows(monkeypatch, dense):
     assert toxicity.BlockMaxIndex([]).search({1: 1.0}, 5)[0].tolist() == []
 
 
+def test_block_max_search_answers_queries_together(monkeypatch):
+    rng = random.Random(3)
+    vectors = [{t: rng.random() for t in rng.sample(range(400), rng.randint(0, 30))} for _ in range(900)]
+    queries = [{t: rng.random() for t in rng.sample(range(420), rng.randint(0, 40))} for _ in range(130)]
+    index, calls, spans = toxicity.BlockMaxIndex(vectors, block=16), [], toxicity._spans
+    monkeypatch.setattr(toxicity, "_spans", lambda lo, hi: calls.append(1) or spans(lo, hi))
+    but = [rng.randrange(-1, 900) for _ in queries]
+    want = index.search_many(queries, 12, but)
+    assert len(calls) <= 9  # three a part of 64, however many queries
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "PART_POSTS", 700)
+    alone = index.search_many(queries, 12, but)
+    for q, x, (at, score), (at2, _) in zip(queries, but, want, alone, strict=True):
+        s = np.array([sum(w * v.get(t, 0) for t, w in q.items()) for v in vectors])
+        if x >= 0:
+            s[x] = 0
+        assert at.tolist() == at2.tolist() == [i for i in np.lexsort((np.arange(900), -np.round(s, 12))) if s[i] > 0][:12] and np.allclose(score, s[at])
+
+
+def test_terms_of_every_character(monkeypatch):
+    import re
+    import sys
+
+    pattern = re.compile(r"[^\W\d_]+")
+    for c in range(sys.maxunicode + 1):
+        text = f"A{chr(c)}b 1{chr(c)}_{chr(c)}{chr(c)}"
+        if c < 0x3000 or c % 61 == 0:
+            assert toxicity.terms_of(text) == pattern.findall(text.lower()), c
+    monkeypatch.setattr(toxicity, "_TERM", None)
+    assert toxicity.terms_of("Ein Maß, 3 Öfen\u00a0dort\x85_été") == ["ein", "maß", "öfen", "dort", "été"] and toxicity.terms_of(None) == []
+
+
 @pytest.mark.parametrize("clustered", [False, True])
 def test_nearest_vectors_reach_the_recall(spark, clustered):
     rng = np.random.default_rng(9)
