@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spillway.llm.common import holds, materialize, only, scratch_path
-from spillway.llm.tokens import encoder
+from spillway.llm.tokens import table_encoder
 
 MAX_BITS = 18
 BLOCK = 4096
-#: Pieces that a worker keeps at most: about 200 MB.
-CACHE_PIECES = 1_000_000
+#: Pieces that a worker keeps at most: about 170 MB. Characters that are tokenised at once, about.
+CACHE_PIECES, AT_ONCE = 2_000_000, 1_000_000
 #: Documents' ids per file, about, and tasks that write at most.
 FILE_IDS, MAX_TASKS = 4_000_000, 20_000
 #: Up to so many files the table of their starts is broadcast (under 20 MB); more are joined by a shuffle.
@@ -136,15 +136,22 @@ def decode_blocks(bits: bytes, offsets: np.ndarray, n_ids: np.ndarray, ids: np.n
 
 def id_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, n_ids, ids, salt): each document's ids with the end id, as little-endian numbers, 16 bits each if all fit, and a random number."""
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holds("token files")
-        enc, rng = encoder(path, CACHE_PIECES), np.random.default_rng()
+        enc, rng = table_encoder(path, end_id, CACHE_PIECES), np.random.default_rng()
         wide = "<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for b in batches:
-            ids = [np.frombuffer(enc.encode(t or "") + end, "<u4") for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(wide).tobytes() for x in ids], pa.binary()), pa.array(rng.integers(0, 2**62, b.num_rows))], names=["doc_id", "n_ids", "ids", "salt"])
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            doc_ids, behind = b.column("doc_id").cast(pa.int64()), np.cumsum([len(t) for t in texts])
+            lo = 0
+            while lo < len(texts):
+                hi = max(lo + 1, int(np.searchsorted(behind, (behind[lo - 1] if lo else 0) + AT_ONCE, "right")))
+                ids, ends = enc.encode(texts[lo:hi])
+                raw = ids.astype(wide)
+                cuts = np.r_[0, ends]
+                column = pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(cuts * raw.itemsize), pa.py_buffer(raw)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo), pa.array(np.diff(cuts), pa.int64()), column, pa.array(rng.integers(0, 2**62, hi - lo))], names=["doc_id", "n_ids", "ids", "salt"])
+                lo = hi
 
     return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_ids long, ids binary, salt long")
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from spillway.llm import ann, chat, common, huffman, licences, line_dedup, mixing, near_dup, packing, quality, toxicity
+from spillway.llm import ann, chat, common, huffman, licences, line_dedup, mixing, near_dup, packing, quality, tokens, toxicity
 from spillway.llm.tokens import PieceEncoder, tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -387,6 +387,33 @@ def test_token_files_with_vague_ids(spark, vague, empty):
         assert at == sum(r.ids for r in made)
 
 
+def test_table_encoder_gives_the_librarys_ids(monkeypatch):
+    rng = random.Random(7)
+    plain = [chr(i) for i in range(256) if not tokens._BEYOND(chr(i))]
+    blanks = [*" " * 30, *"'" * 5, *"\n\t\r\xa0ssttrevmlldabAB09-.\xb2\xbd\xe9\xdf\xd7\xaa"]
+    texts = ["".join(rng.choices(plain if i % 3 else blanks, k=rng.choice([0, 1, 2, 3, 8, 30, 200]))) for i in range(900)]
+    texts += ["a" * 40 + " " + "b" * 17 + " " + "c" * 16, "x  ", "  x", "it's 'tis we'll''s 'RE \n 's", "\x00 \x85", "żółć œuvre", "Привет <|endoftext|> мир", "a <|endoftext|>"]
+    texts += [" ".join("".join(rng.choices("aeinrst", k=rng.randint(2, 9))) for _ in range(400)) for _ in range(5)]
+    rng.shuffle(texts)
+    for name, end in (("byte_bpe_50k.json", 0), ("word_bpe_49k.json", 7)):
+        whole = PieceEncoder(tokenizer_path(name)).whole
+        want = [[*np.frombuffer(whole(t), "<u4").tolist(), end] for t in texts]
+        for most, stretch, size in ((10**6, 10**6, 1000), (300, 60, 9)):  # the second empties its table and cuts long texts, again and again
+            monkeypatch.setattr(tokens, "_STRETCH", stretch)
+            enc, got = tokens.TableEncoder(tokenizer_path(name), end, most), []
+            for lo in range(0, len(texts), size):
+                ids, ends = enc.encode(texts[lo : lo + size])
+                got += [x.tolist() for x in np.split(ids, ends)[:-1]]
+            assert got == want
+    # New pieces go to the library together, known ones not at all.
+    enc, asked = tokens.TableEncoder(tokenizer_path("byte_bpe_50k.json"), 0), []
+    ask = enc._ask
+    monkeypatch.setattr(enc, "_ask", lambda given: asked.append(len(given)) or ask(given))
+    for _ in range(2):
+        enc.encode([" some words and others", " words and more"])
+    assert asked == [1]
+
+
 def test_quality_of_vague_rows(spark, vague):
     trusted = spark.createDataFrame([(None,), (7,)], "doc_id long")
     assert quality.judge(vague.withColumn("q_score", F.lit("mine")), trusted).count() == len(VAGUE)
