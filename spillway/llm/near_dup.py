@@ -19,6 +19,10 @@ a node is named by the first half of the set's 128-bit fingerprint, whatever the
    is kept, so rows stay in proportion to documents.
 6. Components of the links, by alternating large and small stars over tables.
 
+Disk: what is filtered is not shuffled. Full sets and sketches are told by bitmaps of the nodes that take part, so texts
+never meet in a join; joins on the nodes that follow take out what got through by chance. Sketches' values are shuffled
+once, under nodes' numbers. Scratch tables and shuffle files go as soon as the step that reads them is done.
+
 The chance to miss a link of similarity 0.75 is that of 64 trials at 0.75 giving under 32, about 3e-6, and falls
 steeply above. Links are exact: they are confirmed on full sets (of 63-bit hashes).
 
@@ -35,16 +39,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from spillway.llm.common import holds, materialize, only, set_aside
+from spillway.llm.common import discard, holds, materialize, only, set_aside, trim_driver
 
 K = 64
 SHINGLE = 5
 #: Documents, and shingles, of a block, about.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 400_000
+#: Bits of a bitmap for each wanted hash, at least: one in 16 others passes at most; and of a whole one, at most (32 MB), beyond which more pass.
+BITS, MOST_BITS = 16, 1 << 28
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -94,15 +101,46 @@ def signatures(docs: DataFrame, k: int = K) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n long, x long, sketch array<long>")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _bitmap(wanted: DataFrame) -> Broadcast[np.ndarray]:
+    """The hashes h of wanted, each by a bit."""
+    bits = min(MOST_BITS, max(64, 1 << (BITS * wanted.count()).bit_length()))
+    words = wanted.select(F.col("h").bitwiseAND(F.lit(bits - 1)).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return wanted.sparkSession.sparkContext.broadcast(out)
+
+
+def _passes(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes may be wanted: all that are, few others."""
+    at = h & (len(bitmap) * 64 - 1)
+    return (bitmap[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _among(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(x, sketch) of nodes (x) and few others."""
+    sent = _bitmap(nodes.select(F.col("x").alias("h")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_passes(sent.value, b.column("x").to_numpy())))
+
+    return sketches.select("x", "sketch").mapInArrow(run, "x long, sketch array<long>")
+
+
+def _sets(docs: DataFrame, wanted: Broadcast[np.ndarray], ids: Broadcast[np.ndarray] | None = None) -> DataFrame:
+    """(x, values) of the texts of docs (h, text) whose node may be wanted; ids: which texts are worth a look, by h."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b if ids is None else b.filter(pa.array(_passes(ids.value, b.column("h").to_numpy())))
             # Rows of one batch may hold long texts; sets leave a few at a time.
             for part in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
-                sets = [shingles(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array([_name(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["x", "values"])
+                sets = [(_name(s), s) for s in map(shingles, part.column("text").to_pylist())]
+                here = _passes(wanted.value, np.array([x for x, _ in sets], np.int64))
+                sets = [x for x, passes in zip(sets, here, strict=True) if passes]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in sets], pa.int64()), pa.array([s for _, s in sets], pa.list_(pa.int64()))], names=["x", "values"])
 
-    return docs.select("text").mapInArrow(run, "x long, values array<long>")
+    return docs.select("h", "text").mapInArrow(run, "x long, values array<long>")
 
 
 def _common(flat: np.ndarray, row: np.ndarray, m: int, wide: int = 4096) -> np.ndarray:
@@ -218,16 +256,18 @@ def _dealt(members: DataFrame) -> DataFrame:
 def links(docs: DataFrame, sketches: DataFrame, firsts: DataFrame, k: int = K) -> DataFrame:
     """Verified links (a, b) between nodes: enough of them to connect what is connected.
 
-    sketches: (x, n, sketch), firsts: (x, first), the smallest doc_id of the node's rows; a row per node."""
-    entries = sketches.select("x", "n", F.explode("sketch").alias("v"))
-    often = entries.groupBy("v").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
-    known = entries.join(often, "v")
-    per = Window.partitionBy("x")
+    sketches: (x, n, sketch, number), a scratch table, which is deleted; firsts: (x, first), the smallest doc_id of the
+    node's rows; a row per node."""
+    spark = docs.sparkSession
+    entries = sketches.select("number", F.explode("sketch").alias("v"))
+    known = entries.withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("v"))).filter("freq > 1").join(sketches.select("number", "x", "n"), "number")
+    per = Window.partitionBy("number")
     least = F.when(F.col("n") <= k * 3 // 4, F.ceil(F.col("n") * 0.75)).otherwise(F.lit(k // 2))
     ranked = known.select(
         "x", "n", "v", F.row_number().over(per.orderBy("freq", "v")).alias("at"), F.count(F.lit(1)).over(per).alias("shared"), F.sum("freq").over(per).alias("score")
     )
     listed = materialize(ranked.filter(F.col("at") <= F.col("shared") - least + 1).select("x", "n", "v", "score"), "dup-lists")
+    trim_driver(spark)
     hubs = listed.groupBy("v").agg(F.max(F.struct("score", "x")).alias("top"), F.count(F.lit(1)).alias("n_docs")).filter("n_docs > 1").select("v", F.col("top.x").alias("hub"))
     members = materialize(listed.join(hubs, "v").groupBy("hub", "x").agg(F.max("n").alias("n")).withColumn("loose", F.lit(True)), "dup-members")
     texts = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("first"), "text")
@@ -235,8 +275,11 @@ def links(docs: DataFrame, sketches: DataFrame, firsts: DataFrame, k: int = K) -
     def full_sets(nodes: DataFrame) -> DataFrame:
         """(x, values) of nodes (x): other texts under their ids come along, a join on x leaves them out."""
         ids = materialize(nodes.distinct().join(firsts, "x"), "dup-ids")
-        named = _sets(texts.filter("first IS NOT NULL").join(ids.select("first").distinct(), "first", "left_semi"))
-        unnamed = _sets(texts.filter("first IS NULL")).join(ids.filter("first IS NULL").select("x"), "x", "left_semi").dropDuplicates(["x"])
+        ided, bare = ids.filter("first IS NOT NULL"), ids.filter("first IS NULL").select("x")
+        bits = lambda of, h: _bitmap(of.select(h.alias("h")))
+        h = F.xxhash64("first")
+        named = _sets(texts.filter("first IS NOT NULL").withColumn("h", h), bits(ided, F.col("x")), bits(ided, h))
+        unnamed = _sets(texts.filter("first IS NULL").withColumn("h", h), bits(bare, F.col("x"))).join(bare, "x", "left_semi").dropDuplicates(["x"])
         return named.union(unnamed)
 
     large = materialize(_sizes(members).filter("blocks > 1").select("hub", "blocks"), "dup-large")
@@ -246,11 +289,14 @@ def links(docs: DataFrame, sketches: DataFrame, firsts: DataFrame, k: int = K) -
         inside = materialize(members.join(large, "hub").select("hub", "x", "n", F.explode(cells).alias("block")), "dup-inside")
         told = inside.join(full_sets(inside.select("x")), "x").select("hub", "x", "n", "block", "values")
         told = materialize(told.groupBy("hub", "block").applyInArrow(_held_against_hub, "hub long, x long, n long, loose boolean"), "dup-held").distinct()
+        trim_driver(spark)
         settled = told.filter("NOT loose AND x <> hub").select(F.col("x").alias("a"), F.col("hub").alias("b"))
         members = members.join(large, "hub", "left_anti").unionByName(told)
-    first = _dealt(members).join(sketches.select("x", "sketch"), "x").select("hub", "i", "j", "x", "block", "n", "loose", "sketch")
+    first = _dealt(members).join(_among(sketches, members), "x").select("hub", "i", "j", "x", "block", "n", "loose", "sketch")
     likely = first.groupBy("hub", "i", "j").applyInArrow(lambda t: _likely(t, k), "hub long, x long, n long, loose boolean").distinct()
     likely = materialize(likely, "dup-likely")
+    discard(sketches)
+    trim_driver(spark)
     second = _dealt(likely).join(full_sets(likely.select("x")), "x").select("hub", "i", "j", "x", "block", "values")
     found = second.groupBy("hub", "i", "j").applyInArrow(_links, "a long, b long")
     return found if settled is None else found.union(settled)
@@ -288,14 +334,18 @@ def _told(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n, x, component_id, kept), a row per row of docs."""
     base = only(docs, "doc_id", "text")
     sigs = materialize(signatures(base, k), "dup-signatures")
-    firsts = materialize(sigs.filter("n > 0").groupBy("x").agg(F.min("doc_id").alias("first")), "dup-nodes")
+    rows = materialize(sigs.select("doc_id", "n", "x"), "dup-rows")
+    firsts = materialize(rows.filter("n > 0").groupBy("x").agg(F.min("doc_id").alias("first")), "dup-nodes")
     # A node's sketch is any of its rows' (they are equal).
     nodes = sigs.filter("n > 0").select("x", "n", "sketch").dropDuplicates(["x"])
-    found = components(links(base, materialize(nodes, "dup-sketches"), firsts, k))
+    sketches = materialize(nodes.withColumn("number", F.monotonically_increasing_id()), "dup-sketches")
+    discard(sigs)
+    trim_driver(base.sparkSession)
+    found = components(links(base, sketches, firsts, k))
     named = firsts.join(found, "x", "left").select("x", "first", F.coalesce("component", "x").alias("component"))
     tops = named.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "x")).alias("top"))
     named = named.join(tops, "component").select("x", F.col("top.first").alias("top_id"), F.col("top.x").alias("top_x"))
-    own = sigs.select("doc_id", "n", "x").join(named, "x", "left")
+    own = rows.join(named, "x", "left")
     component = F.when(F.col("n") > 0, F.col("top_id")).otherwise(F.col("doc_id"))
     kept = (F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("top_id")) & (F.col("x") == F.col("top_x")))
     return own.select("doc_id", "n", "x", component.alias("component_id"), kept.alias("kept"))

@@ -175,6 +175,43 @@ def test_near_duplicate_families_of_all_sizes(spark, monkeypatch, block):
     assert [out[i].component_id for i in range(len(rows))] == want and [out[i].n_shingles for i in range(len(rows))] == [len(s) for s in _plain_sets(rows)]
 
 
+def test_near_dedup_shuffles_no_texts_and_sketches_once(spark, monkeypatch):
+    text = lambda w, n=60: " ".join(f"{w}{i}" for i in range(n))
+    rows = [(i if i % 7 else None, text(f"f{i % 9}") + f" end{i % 31}") for i in range(120)] + [(500 + i, text(f"g{i}")) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, real = {}, near_dup.materialize
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    told = lambda: collections.Counter(near_dup.near_duplicates(docs).collect())
+    before = told()
+    monkeypatch.setattr(near_dup, "materialize", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where no table is small
+    try:
+        with common.owning("near-dedup test"):
+            assert told() == before
+        left = [path for path, (_, whose) in common._written.items() if whose == "near-dedup test"]
+        monkeypatch.setattr(near_dup, "MOST_BITS", 64, raising=False)  # bitmaps that let everything pass
+        assert told() == before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        common.release_scratch("near-dedup test")
+    assert "hashpartitioning(first" not in plans["dup-links"] and plans["dup-lists"].count("hashpartitioning(v#") == 1
+    assert left and not [path for path in left if path.endswith(("dup-signatures", "dup-sketches"))]
+
+
+def test_near_dedup_bitmaps_pass_all_that_is_wanted(spark):
+    rng = random.Random(12)
+    wanted, others = (np.array([rng.randrange(-(2**63), 2**63) for _ in range(3000)]) for _ in range(2))
+    bitmap = near_dup._bitmap(spark.createDataFrame([(int(h),) for h in wanted], "h long")).value
+    assert near_dup._passes(bitmap, wanted).all() and near_dup._passes(bitmap, others).mean() < 0.1
+    none = near_dup._bitmap(spark.createDataFrame([], "h long")).value
+    assert not near_dup._passes(none, others).any()
+
+
 def test_near_dedup_edges(spark, vague, empty):
     clash = vague.withColumns({"nd_own": F.lit(1), "nd_id": F.lit("mine"), "ND_n": F.lit(2)})
     left = near_dup.dedup(clash)
